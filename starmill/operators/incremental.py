@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from starmill.functions.labels import FIRST_WATERMARK
 from starmill.functions.scalars import time_literal
@@ -44,10 +44,25 @@ def last_watermark(log: DataFrame, process: str) -> datetime:
 
 def next_watermark(staged: DataFrame, ts: str, last: datetime,
                    batch_id: str | None = None) -> DataFrame:
-    """One row: the newest time staged by this batch, or ``last`` when the batch is empty."""
+    """One row: the newest time staged by this batch, or ``last`` when it is empty, and its rows."""
     if batch_id is not None:
         staged = staged.where(F.col("batch_id") == batch_id)
-    return staged.agg(F.coalesce(F.max(ts), time_literal(last)).alias("watermark"))
+    return staged.agg(F.coalesce(F.max(ts), time_literal(last)).alias("watermark"),
+                      F.count("*").alias("rows"))
+
+
+def advance_watermarks(staged: DataFrame, batches: DataFrame, ts: str, last: datetime) -> DataFrame:
+    """The watermark after each batch when ``batches`` are loaded in the order of ``batch_id``.
+
+    A batch that staged nothing keeps the value before it. The running maximum is taken over
+    one row per batch.
+    """
+    newest = staged.groupBy("batch_id").agg(F.max(ts).alias("_newest"))
+    so_far = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
+    return batches.join(newest, "batch_id", "left").select(
+        "batch_id",
+        F.coalesce(F.last("_newest", ignorenulls=True).over(so_far), time_literal(last))
+        .alias("watermark"))
 
 
 def tag_batch(df: DataFrame, batch_id: str, loaded_at: datetime) -> DataFrame:

@@ -27,10 +27,14 @@ def ambiguous_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     return source.groupBy(*keys).agg(F.count("*").alias("rows")).where("rows > 1")
 
 
-def check_unambiguous(source: DataFrame, keys: Sequence[str]) -> None:
-    clash = ambiguous_keys(source, keys).first()
-    if clash is not None:
+def count_unambiguous(source: DataFrame, keys: Sequence[str]) -> int:
+    """Number of source rows; raises when a key occurs on more than one of them."""
+    per_key = source.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    total = per_key.agg(F.coalesce(F.sum("_rows"), F.lit(0)), F.count("*")).first()
+    if total[0] != total[1]:
+        clash = ambiguous_keys(source, keys).first()
         raise AmbiguousSource(f"{clash['rows']} source rows for {[clash[k] for k in keys]}")
+    return total[0]
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:

@@ -8,6 +8,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F
 
 from starmill.functions import labels
+from starmill.operators.keys import assign_keys, max_key
+from starmill.operators.merge import scd1_merge
+from starmill.sources.shared import Scratch
 
 
 @dataclass(frozen=True)
@@ -61,6 +64,20 @@ DIMENSIONS = {
         defaults={"full_name": labels.NO_NAME, "job_title": labels.NO_JOB}),
 }
 
+def merge_dimension(dim: Dimension, target: DataFrame, source: DataFrame,
+                    stamps: Mapping[str, object], scratch: Scratch | None = None,
+                    null_safe: bool = True, broadcast_source: bool | None = None) -> DataFrame:
+    """The dimension after one load, with the ``action`` taken for each member.
+
+    New members get the keys after the greatest one in use, in the order of their business id.
+    """
+    merge = scd1_merge(target, source, {dim.business_id: dim.staged_id}, dim.attributes,
+                       stamps=stamps, null_safe=null_safe, broadcast_source=broadcast_source)
+    new = assign_keys(merge.new.drop(dim.key), [dim.business_id], dim.key,
+                      start=max_key(target, dim.key), scratch=scratch)
+    return merge.existing.unionByName(new)
+
+
 # Seed row for sales without a salesperson. Its business id occurs in no source, so no merge
 # ever matches it.
 UNKNOWN_SALESPERSON = {

@@ -17,10 +17,10 @@ from starmill.functions import labels
 from starmill.functions.calendar import calendar
 from starmill.functions.scalars import time_literal
 from starmill.operators.incremental import latest_batch, next_watermark, tag_batch
-from starmill.operators.keys import assign_keys, max_key, with_unknown_member
-from starmill.operators.merge import check_unambiguous, scd1_merge
+from starmill.operators.keys import with_unknown_member
+from starmill.operators.merge import BROADCAST_ROWS, count_unambiguous
 from starmill.plans.audit import RunLog
-from starmill.plans.dimensions import DIMENSIONS, UNKNOWN_SALESPERSON
+from starmill.plans.dimensions import DIMENSIONS, UNKNOWN_SALESPERSON, merge_dimension
 from starmill.plans.extracts import EXTRACTS, Sources
 from starmill.plans.facts import LOOKUPS, load_fact
 from starmill.schemas import STAGING, WAREHOUSE
@@ -80,8 +80,8 @@ class Warehouse:
             staged = tag_batch(EXTRACTS[entity](src, last), run.batch_id, self.clock())
             self.store.write(table, conform(staged, schema))
             written = self.store.read(table, schema)
-            run.rows = written.count()
-            run.watermark = next_watermark(written, "modified_date", last, run.batch_id).first()[0]
+            run.rows, run.watermark = next_watermark(
+                written, "modified_date", last, run.batch_id).select("rows", "watermark").first()
 
     def staged(self, entity: str) -> DataFrame:
         return self.store.read(f"stg/{entity}", STAGING[entity])
@@ -96,16 +96,14 @@ class Warehouse:
         dim, schema, table = DIMENSIONS[name], WAREHOUSE[name], f"dw/{name}"
         with self._run(dim.process) as run, Scratch(self.spark, name) as scratch:
             source = dim.source(latest_batch(self.staged(dim.staging)))
-            if source.isEmpty() and self.store.exists(table):
+            members = count_unambiguous(source, [dim.staged_id])
+            if members == 0 and self.store.exists(table):
                 return
-            check_unambiguous(source, [dim.staged_id])
             target, now = self.store.read(table, schema), self.clock()
-            merge = scd1_merge(
-                target, source, {dim.business_id: dim.staged_id}, dim.attributes,
-                stamps={"loaded_at": now, "load_user": self.user}, null_safe=null_safe)
-            new = assign_keys(merge.new.drop(dim.key), [dim.business_id], dim.key,
-                              start=max_key(target, dim.key), scratch=scratch)
-            self.store.write(table, conform(merge.existing.unionByName(new), schema))
+            merged = merge_dimension(
+                dim, target, source, {"loaded_at": now, "load_user": self.user}, scratch,
+                null_safe=null_safe, broadcast_source=members <= BROADCAST_ROWS)
+            self.store.write(table, conform(merged, schema))
             # Inserted and updated rows are the ones that carry this run's time.
             run.rows = self.store.read(table, schema).where(
                 F.col("loaded_at") == time_literal(now)).count()
