@@ -7,56 +7,87 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starmill.operators.slices import (
-    HOT_ROWS, SLICE_MINUTES, across_slices, add_slices, with_summary, within_slice)
+    HOT_ROWS, SLICE_MINUTES, across_slices, find_hot_keys, hand_over, split_hot)
+from starmill.sources.shared import Scratch
+
+
+def _observed(feed: DataFrame, group: Sequence[str], ts: str, tie: Sequence[str],
+              attributes: Sequence[str]) -> DataFrame:
+    """Rows of each group as states in time order, each with the state before it.
+
+    Of several rows at one instant only the last by ``tie`` is left.
+    """
+    in_order = Window.partitionBy(*group).orderBy(ts, *tie)
+    next_ts = F.lead(ts).over(in_order)
+    return (feed.withColumn("_next_ts", next_ts)
+            .where(F.col("_next_ts").isNull() | (F.col("_next_ts") != F.col(ts)))
+            .withColumn("_state", F.struct(*attributes))
+            .withColumn("_before", F.lag("_state").over(Window.partitionBy(*group).orderBy(ts)))
+            .drop("_next_ts", *tie))
+
+
+def _changes(rows: DataFrame, before: Column, group: Sequence[str], ts: str) -> DataFrame:
+    """The rows that start a version, with the start of the next one and their number."""
+    by_start = Window.partitionBy(*group).orderBy("valid_from")
+    return (rows.where(before.isNull() | ~before.eqNullSafe(F.col("_state")))
+            .withColumnRenamed(ts, "valid_from")
+            .withColumn("_next", F.lead("valid_from").over(by_start))
+            .withColumn("_nth", F.row_number().over(by_start)))
+
+
+def _versions(changes: DataFrame, keys: Sequence[str], attributes: Sequence[str],
+              valid_to: Column, version: Column) -> DataFrame:
+    return changes.select(*keys, *attributes, "valid_from", valid_to.alias("valid_to"),
+                          valid_to.isNull().alias("is_current"),
+                          version.cast("long").alias("version"))
 
 
 def scd2_history(feed: DataFrame, keys: Sequence[str], ts: str, attributes: Sequence[str],
-                 tie: Sequence[str] = (), hot_rows: int = HOT_ROWS,
-                 slice_minutes: int = SLICE_MINUTES) -> DataFrame:
+                 tie: Sequence[str] = (), hot_rows: int | None = HOT_ROWS,
+                 slice_minutes: int = SLICE_MINUTES, scratch: Scratch | None = None) -> DataFrame:
     """Versions of each key from a feed of observed states.
 
     Runs of equal states form one version. Of several rows of a key at the same instant the last
     by ``tie`` counts, so no version is empty. Result: keys, attributes, ``valid_from``,
-    ``valid_to``, ``is_current``, ``version``.
+    ``valid_to``, ``is_current``, ``version``. One shuffle by key covers all windows.
     """
-    keys, attributes = list(keys), list(attributes)
-    needed = list(dict.fromkeys([*keys, ts, *tie, *attributes]))
-    rows = add_slices(feed.select(*needed), keys, ts, hot_rows, slice_minutes)
-    ordered = within_slice(keys, [ts, *tie])
-    rows = (rows.withColumn("_next_ts", F.lead(ts).over(ordered))
-            .where(F.col("_next_ts").isNull() | (F.col("_next_ts") != F.col(ts)))
-            .drop("_next_ts").withColumn("_state", F.struct(*attributes)))
-
-    rows = with_summary(
-        rows.withColumn("_before", F.lag("_state").over(within_slice(keys, [ts]))), keys,
+    keys, attributes, tie = list(keys), list(attributes), [t for t in tie if t not in attributes]
+    scratch = scratch or Scratch(feed.sparkSession, "history")
+    feed = feed.select(*dict.fromkeys([*keys, ts, *tie, *attributes]))
+    hot = find_hot_keys(feed, keys, hot_rows, scratch)
+    ordinary, busy = (feed, None) if hot is None else split_hot(feed, keys, ts, hot, slice_minutes)
+
+    rows = _observed(ordinary, keys, ts, tie, attributes)
+    versions = _versions(_changes(rows, F.col("_before"), keys, ts), keys, attributes,
+                         F.col("_next"), F.col("_nth"))
+    if busy is None:
+        return versions
+
+    group = [*keys, "_slice"]
+    rows = hand_over(
+        scratch.table(_observed(busy, group, ts, tie, attributes)), keys,
         summary={"_last": F.max_by("_state", ts)},
         across={"_carried": F.lag("_last").over(across_slices(keys))})
-    before = F.coalesce("_before", "_carried")
-    changes = (rows.where(before.isNull() | ~before.eqNullSafe(F.col("_state")))
-               .select(*keys, "_slice", "_hot", F.col(ts).alias("valid_from"), *attributes))
-
-    by_start = within_slice(keys, ["valid_from"])
+    changes = scratch.table(_changes(rows, F.coalesce("_before", "_carried"), group, ts))
     earlier = across_slices(keys).rowsBetween(Window.unboundedPreceding, -1)
-    versions = with_summary(
-        changes.withColumns({"_next": F.lead("valid_from").over(by_start),
-                             "_nth": F.row_number().over(by_start)}), keys,
+    changes = hand_over(
+        changes, keys,
         summary={"_first": F.min("valid_from"), "_count": F.count("*")},
         across={"_following": F.lead("_first").over(across_slices(keys)),
                 "_earlier": F.sum("_count").over(earlier)})
-    valid_to = F.coalesce("_next", "_following")
-    return versions.select(
-        *keys, *attributes, "valid_from", valid_to.alias("valid_to"),
-        valid_to.isNull().alias("is_current"),
-        (F.col("_nth") + F.coalesce("_earlier", F.lit(0))).cast("long").alias("version"))
+    return versions.unionByName(_versions(
+        changes, keys, attributes, F.coalesce("_next", "_following"),
+        F.col("_nth") + F.coalesce("_earlier", F.lit(0))))
 
 
 def scd2_incremental(history: DataFrame, delta: DataFrame, keys: Sequence[str], ts: str,
                      attributes: Sequence[str], tie: Sequence[str] = (),
-                     hot_rows: int = HOT_ROWS, slice_minutes: int = SLICE_MINUTES) -> DataFrame:
-    """Apply new observations to an existing history.
+                     hot_rows: int | None = HOT_ROWS, slice_minutes: int = SLICE_MINUTES,
+                     scratch: Scratch | None = None) -> DataFrame:
+    """Apply new observations to a stored history.
 
     For a key in ``delta`` only the versions that end at or after its earliest new row are
     rebuilt, normally just the open one; everything else passes through. A late row takes effect
@@ -67,23 +98,24 @@ def scd2_incremental(history: DataFrame, delta: DataFrame, keys: Sequence[str],
     marked = history.join(touched, keys, "left")
     untouched = F.col("_since").isNull() | F.coalesce(F.col("valid_to") < F.col("_since"), F.lit(False))
     kept = marked.where(untouched).select(*history.columns)
-    reopened = marked.where(~untouched)
+    scratch = scratch or Scratch(history.sparkSession, "history")
+    reopened = scratch.table(marked.where(~untouched).drop("_since"))
 
     # Version numbers of rebuilt rows go on after those that were kept.
     base = reopened.groupBy(*keys).agg((F.min("version") - 1).alias("_base"))
     known = reopened.select(*keys, F.col("valid_from").alias(ts), *attributes,
-                            *[F.lit(None).cast(delta.schema[t].dataType).alias(t) for t in tie])
-    observed = delta.select(*known.columns)
-    rebuilt = scd2_history(known.unionByName(observed), keys, ts, attributes, tie,
-                           hot_rows, slice_minutes)
+                            *[F.lit(None).cast(delta.schema[t].dataType).alias(t) for t in tie
+                              if t not in attributes])
+    rebuilt = scd2_history(known.unionByName(delta.select(*known.columns)), keys, ts, attributes,
+                           tie, hot_rows, slice_minutes, scratch)
     renumbered = rebuilt.join(base, keys, "left").withColumn(
         "version", F.col("version") + F.coalesce("_base", F.lit(0)))
     return kept.unionByName(renumbered.select(*history.columns))
 
 
 def point_in_time(facts: DataFrame, history: DataFrame, keys: Sequence[str], ts: str,
-                  attributes: Sequence[str], hot_rows: int = HOT_ROWS,
-                  slice_minutes: int = SLICE_MINUTES) -> DataFrame:
+                  attributes: Sequence[str], hot_rows: int | None = HOT_ROWS,
+                  slice_minutes: int = SLICE_MINUTES, scratch: Scratch | None = None) -> DataFrame:
     """``facts`` with the attributes of the version valid at ``ts``; NULL when there was none.
 
     Both inputs are merged into one time line per key and the last version is carried forward.
@@ -91,6 +123,7 @@ def point_in_time(facts: DataFrame, history: DataFrame, keys: Sequence[str], ts:
     every fact of a key with every version of it.
     """
     keys = list(keys)
+    scratch = scratch or Scratch(facts.sparkSession, "point-in-time")
     version = F.struct(*attributes, "valid_to")
     version_type = history.select(version.alias("v")).schema["v"].dataType
     payload_type = facts.select(F.struct(*facts.columns).alias("f")).schema["f"].dataType
@@ -99,15 +132,26 @@ def point_in_time(facts: DataFrame, history: DataFrame, keys: Sequence[str], ts:
     sales = facts.select(*keys, F.col(ts).alias("_at"), F.lit(1).alias("_kind"),
                          F.lit(None).cast(version_type).alias("_version"),
                          F.struct(*facts.columns).alias("_fact"))
-    line = add_slices(starts.unionByName(sales), keys, "_at", hot_rows, slice_minutes)
-
-    so_far = within_slice(keys, ["_at", "_kind"]).rowsBetween(Window.unboundedPreceding, 0)
+    line = starts.unionByName(sales)
+    hot = find_hot_keys(history.select(*keys).unionByName(facts.select(*keys)), keys, hot_rows, scratch)
+
+    def carried_within(rows: DataFrame, group: Sequence[str]) -> DataFrame:
+        so_far = (Window.partitionBy(*group).orderBy("_at", "_kind")
+                  .rowsBetween(Window.unboundedPreceding, 0))
+        return rows.withColumn("_valid", F.last("_version", ignorenulls=True).over(so_far))
+
+    def resolve(rows: DataFrame, found: Column) -> DataFrame:
+        holds = found["valid_to"].isNull() | (F.col("_at") < found["valid_to"])
+        return rows.where(F.col("_kind") == 1).select(
+            "_fact.*", *[F.when(holds, found[a]).alias(a) for a in attributes])
+
+    if hot is None:
+        return resolve(carried_within(line, keys), F.col("_valid"))
+    ordinary, busy = split_hot(line, keys, "_at", hot, slice_minutes)
     earlier = across_slices(keys).rowsBetween(Window.unboundedPreceding, -1)
-    line = with_summary(
-        line.withColumn("_valid", F.last("_version", ignorenulls=True).over(so_far)), keys,
+    busy = hand_over(
+        scratch.table(carried_within(busy, [*keys, "_slice"])), keys,
         summary={"_last": F.max_by("_version", F.when(F.col("_kind") == 0, F.col("_at")))},
         across={"_carried": F.last("_last", ignorenulls=True).over(earlier)})
-    found = F.coalesce("_valid", "_carried")
-    holds = found["valid_to"].isNull() | (F.col("_at") < found["valid_to"])
-    return line.where(F.col("_kind") == 1).select(
-        "_fact.*", *[F.when(holds, found[a]).alias(a) for a in attributes])
+    return (resolve(carried_within(ordinary, keys), F.col("_valid"))
+            .unionByName(resolve(busy, F.coalesce("_valid", "_carried"))))

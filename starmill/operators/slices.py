@@ -1,8 +1,8 @@
 """Looking at the neighbouring rows of a key when one key may hold much of the table.
 
-A window over a key runs in one task. Keys above ``hot_rows`` rows are therefore cut into
-slices of time: windows run per (key, slice), and what a slice needs from earlier or later
-slices travels as one summary row per slice. Ordinary keys have a single slice and need none.
+A window over a key runs in one task. Keys above ``hot_rows`` rows are therefore taken out and
+cut into slices of time: their windows run per (key, slice), and what a slice needs from earlier
+or later slices travels as one summary row per slice. All other keys use a plain window.
 """
 
 from __future__ import annotations
@@ -13,28 +13,32 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.window import WindowSpec
 
 from starmill.functions.scalars import minute_index
+from starmill.sources.shared import Scratch
 
 HOT_ROWS = 2_000_000
 SLICE_MINUTES = 60
 
 
-def add_slices(df: DataFrame, keys: Sequence[str], ts: str, hot_rows: int = HOT_ROWS,
-               minutes: int = SLICE_MINUTES) -> DataFrame:
-    """Add ``_hot`` and ``_slice``; slices of a key increase with ``ts``.
+def find_hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None,
+                  scratch: Scratch) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows, or None when there are none (or no limit is set).
 
-    At most (rows of ``df`` / ``hot_rows``) keys can be hot, which bounds the broadcast. The
-    counting aggregate reduces to one row per key before its shuffle.
+    Reads only the key columns and reduces them to one row per key before the shuffle. At most
+    (rows of ``df`` / ``hot_rows``) keys can be hot, so the result is small enough to broadcast.
     """
-    hot = (df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-           .where(F.col("_rows") > hot_rows).select(*keys, F.lit(True).alias("_is_hot")))
-    is_hot = F.coalesce("_is_hot", F.lit(False))
-    return (df.join(F.broadcast(hot), list(keys), "left")
-            .withColumn("_slice", F.when(is_hot, minute_index(ts, minutes)).otherwise(F.lit(0)))
-            .withColumn("_hot", is_hot).drop("_is_hot"))
+    if hot_rows is None:
+        return None
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    hot = scratch.table(counts.where(F.col("_rows") > hot_rows).select(*keys))
+    return None if hot.isEmpty() else hot
 
 
-def within_slice(keys: Sequence[str], order: Sequence[str | Column]) -> WindowSpec:
-    return Window.partitionBy(*keys, "_slice").orderBy(*order)
+def split_hot(df: DataFrame, keys: Sequence[str], ts: str, hot: DataFrame,
+              minutes: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of ordinary keys, and rows of hot keys with the ``_slice`` of time they fall into."""
+    ordinary = df.join(F.broadcast(hot), list(keys), "left_anti")
+    busy = df.join(F.broadcast(hot), list(keys), "left_semi")
+    return ordinary, busy.withColumn("_slice", minute_index(ts, minutes))
 
 
 def across_slices(keys: Sequence[str]) -> WindowSpec:
@@ -42,15 +46,14 @@ def across_slices(keys: Sequence[str]) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy("_slice")
 
 
-def with_summary(df: DataFrame, keys: Sequence[str], summary: dict[str, Column],
-                 across: dict[str, Column]) -> DataFrame:
-    """Summarise each slice of the hot keys and hand results between slices.
+def hand_over(rows: DataFrame, keys: Sequence[str], summary: dict[str, Column],
+              across: dict[str, Column]) -> DataFrame:
+    """Summarise the slices of ``rows`` and hand results from slice to slice.
 
     ``summary`` holds aggregates over the rows of a slice, ``across`` window expressions over
-    ``across_slices`` that use them; the latter are joined back to the rows of the slice and are
-    NULL for ordinary keys.
+    ``across_slices`` that use them; the latter are joined back to the rows. ``rows`` is read
+    twice and should be a written table.
     """
-    slices = (df.where("_hot").groupBy(*keys, "_slice")
-              .agg(*[c.alias(n) for n, c in summary.items()]))
+    slices = rows.groupBy(*keys, "_slice").agg(*[c.alias(n) for n, c in summary.items()])
     handed = slices.select(*keys, "_slice", *[c.alias(n) for n, c in across.items()])
-    return df.join(handed, [*keys, "_slice"], "left")
+    return rows.join(handed, [*keys, "_slice"], "left")

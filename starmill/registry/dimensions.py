@@ -19,6 +19,7 @@ from starmill.registry.context import (
     CALENDAR_END, CALENDAR_START, LOADED_AT, LOAD_USER, roles, table, tables)
 from starmill.schemas import WAREHOUSE
 from starmill.sources.roles import promotion_id
+from starmill.sources.shared import Scratch
 
 STAMPS = {"loaded_at": LOADED_AT, "load_user": LOAD_USER}
 
@@ -76,7 +77,9 @@ def customer_merge_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame,
     t = tables(spark, sf_dir)
     known = _customers_at(t, _until(t["orders"], "o_orderdate", _CUSTOMER_CUT)).withColumns(
         {"loaded_at": F.lit(_CUSTOMER_CUT).cast("timestamp_ntz"), "load_user": F.lit("first")})
-    return known, _customers_at(t, _after(t["orders"], "o_orderdate", _CUSTOMER_CUT))
+    staged = _customers_at(t, _after(t["orders"], "o_orderdate", _CUSTOMER_CUT))
+    stored = Scratch(spark, "merge")
+    return stored.table(known), stored.table(staged)
 
 
 def merge_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,10 +106,11 @@ def source_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _merged(spark: SparkSession, name: str, before: DataFrame, after: DataFrame) -> DataFrame:
     """Load ``before`` into an empty dimension, then merge ``after``."""
-    dim, schema = DIMENSIONS[name], WAREHOUSE[name]
+    dim, schema, stored = DIMENSIONS[name], WAREHOUSE[name], Scratch(spark, name)
     empty = spark.createDataFrame([], schema)
-    first = merge_dimension(dim, empty, dim.source(before), STAMPS).drop("action")
-    merged = merge_dimension(dim, first, dim.source(after), STAMPS)
+    first = merge_dimension(dim, empty, dim.source(before), STAMPS, stored, broadcast_source=False)
+    source = stored.table(dim.source(after))
+    merged = merge_dimension(dim, stored.table(first.drop("action")), source, STAMPS, stored)
     return merged.select(dim.key, dim.business_id, *dim.attributes, "action")
 
 

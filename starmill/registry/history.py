@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmill.operators.history import point_in_time, scd2_history, scd2_incremental
 from starmill.registry.context import table
+from starmill.sources.shared import Scratch
 
 _KEYS, _STATE = ["user_id"], ["event_type"]
 _HALF = "2024-01-16"
@@ -18,7 +19,8 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first half of the month as a base, the rest applied to it."""
     events, cut = table(spark, sf_dir, "events"), F.lit(_HALF).cast("timestamp_ntz")
-    base = scd2_history(events.where(F.col("ts") < cut), _KEYS, "ts", _STATE, tie=["event_id"])
+    base = Scratch(spark, "dim").table(
+        scd2_history(events.where(F.col("ts") < cut), _KEYS, "ts", _STATE, tie=["event_id"]))
     return scd2_incremental(base, events.where(F.col("ts") >= cut), _KEYS, "ts", _STATE,
                             tie=["event_id"])
 
@@ -26,8 +28,8 @@ def incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 def purchases_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases by the state the user was in at that moment, taken from the other events."""
     events = table(spark, sf_dir, "events")
-    states = scd2_history(events.where(F.col("event_type") != "purchase"), _KEYS, "ts", _STATE,
-                          tie=["event_id"])
+    states = Scratch(spark, "dim").table(scd2_history(
+        events.where(F.col("event_type") != "purchase"), _KEYS, "ts", _STATE, tie=["event_id"]))
     bought = events.where(F.col("event_type") == "purchase").select(
         "user_id", "ts", F.col("value").cast("decimal(12,2)").alias("value"))
     placed = point_in_time(bought, states, _KEYS, "ts", _STATE)

@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Hot orders, customers or products are split at join time.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast is chosen from file sizes; two columns of a large dimension still fit.
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
