@@ -18,6 +18,14 @@ def time_literal(value: datetime) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def sql_literal(value: object) -> str:
+    """``value`` as SQL text, to be cast to its column's type."""
+    if value is None:
+        return "NULL"
+    text = value.isoformat(sep=" ") if isinstance(value, datetime) else str(value)
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def null_tolerant_concat(*parts: Column | str, sep: str = " ") -> Column:
     """Join strings with ``sep``; a NULL part counts as the empty string, its separator stays."""
     texts = [F.coalesce(_col(p).cast("string"), F.lit("")) for p in parts]

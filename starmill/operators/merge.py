@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from starmill.functions.scalars import any_differs, time_literal
+from starmill.functions.scalars import any_differs, sql_literal
 
 # A source of at most this many rows is broadcast; a larger one is shuffled.
 BROADCAST_ROWS = 100_000
@@ -78,50 +77,49 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: Sequence[str] | Mappi
     if broadcast_source is None:
         broadcast_source = fits_broadcast(source)
 
-    incoming = source.select(
-        *[F.col(s).alias(f"_key_{t}") for t, s in keys.items()],
-        *[F.col(s).alias(f"_new_{t}") for t, s in attributes.items()],
-        F.lit(True).alias("_in_source"))
-    current = target.withColumn("_in_target", F.lit(True))
+    # Written as SQL text: a merge has several expressions per column, and text reaches the JVM
+    # in one call.
+    incoming = source.selectExpr(
+        *[f"`{s}` AS `_key_{t}`" for t, s in keys.items()],
+        *[f"`{s}` AS `_new_{t}`" for t, s in attributes.items()],
+        "true AS _in_source")
+    current = target.selectExpr("*", "true AS _in_target")
     same_key = [F.col(t) == F.col(f"_key_{t}") for t in keys]
-
-    inserted = F.col("_in_target").isNull()
-    changed = any_differs([(F.col(t), F.col(f"_new_{t}")) for t in attributes], null_safe)
+    compare = "NOT (`{0}` <=> `_new_{0}`)" if null_safe else "coalesce(`{0}` <> `_new_{0}`, false)"
+    changed = " OR ".join(compare.format(t) for t in attributes)
     if newer_by is not None:
-        newer = F.col(newer_by).isNull() | (F.col(f"_new_{newer_by}") > F.col(newer_by))
-        changed = changed & F.coalesce(newer, F.lit(False))
-    updated = F.col("_in_source").isNotNull() & changed
-
-    def stamp(value: object) -> Column:
-        return time_literal(value) if isinstance(value, datetime) else F.lit(value)
+        changed = (f"({changed}) AND coalesce(`{newer_by}` IS NULL"
+                   f" OR `_new_{newer_by}` > `{newer_by}`, false)")
 
     def settle(frame: DataFrame) -> DataFrame:
+        decided = frame.selectExpr(
+            "*", f"CASE WHEN _in_target IS NULL THEN 'insert'"
+                 f" WHEN _in_source AND ({changed}) THEN 'update' ELSE 'keep' END AS action")
         columns = []
         for field in target.schema.fields:
-            value = F.col(field.name)
+            name, value = f"`{field.name}`", f"`{field.name}`"
             if field.name in keys:
-                value = F.coalesce(value, f"_key_{field.name}")
+                value = f"coalesce({name}, `_key_{field.name}`)"
             elif field.name in attributes:
-                value = F.when(inserted | updated, F.col(f"_new_{field.name}")).otherwise(value)
+                value = f"if(action = 'keep', {name}, `_new_{field.name}`)"
             elif field.name in stamps:
-                value = F.when(inserted | updated, stamp(stamps[field.name])).otherwise(value)
-            columns.append(value.cast(field.dataType).alias(field.name))
-        action = F.when(inserted, "insert").when(updated, "update").otherwise("keep")
-        return frame.select(*columns, action.alias("action"))
+                value = f"if(action = 'keep', {name}, {sql_literal(stamps[field.name])})"
+            columns.append(f"CAST({value} AS {field.dataType.simpleString()}) AS {name}")
+        return decided.selectExpr(*columns, "action")
 
     if not broadcast_source:
         both = current.join(incoming, same_key, "full_outer")
         return Merge(
             table=settle(both),
-            existing=settle(both.where(~inserted)),
-            new=settle(both.where(inserted & F.col("_in_source").isNotNull())))
+            existing=settle(both.where("_in_target IS NOT NULL")),
+            new=settle(both.where("_in_target IS NULL AND _in_source IS NOT NULL")))
 
     batch = F.broadcast(incoming)
     existing = settle(current.join(batch, same_key, "left"))
     # Keys found in the target are at most the keys of the batch, so they are small as well.
     found = current.select(*keys).join(batch, same_key, "left_semi")
-    unmatched = incoming.join(F.broadcast(found), same_key, "left_anti").select(
-        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in current.schema.fields])
+    unmatched = incoming.join(F.broadcast(found), same_key, "left_anti").selectExpr(
+        "*", *[f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in current.schema.fields])
     new = settle(unmatched)
     return Merge(table=existing.unionByName(new), existing=existing, new=new)
 

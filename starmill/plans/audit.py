@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from starmill.functions import labels
-from starmill.functions.scalars import seconds_between, time_literal
+from starmill.functions.scalars import seconds_between, sql_literal
 from starmill.operators.incremental import last_watermark
 from starmill.schemas import RUN_LOG
 from starmill.sources.store import Store
@@ -71,8 +71,8 @@ class RunLog:
     def _append(self, process, batch_id, state, started, ended, watermark=None, rows=None,
                 message=None) -> None:
         values = (process, batch_id, state, started, ended, watermark, rows, message)
-        row = self.store.spark.range(1, numPartitions=1).select(*[
-            (time_literal(v) if isinstance(v, datetime) else F.lit(v)).cast(f.dataType).alias(f.name)
+        row = self.store.spark.range(1, numPartitions=1).selectExpr(*[
+            f"CAST({sql_literal(v)} AS {f.dataType.simpleString()}) AS {f.name}"
             for f, v in zip(RUN_LOG.fields, values)])
         phase = "start" if ended is None else "end"
         self.store.append(self.TABLE, row, f"{process}-{batch_id}-{phase}")

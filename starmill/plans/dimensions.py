@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from starmill.functions import labels
+from starmill.functions.scalars import default_to
 from starmill.operators.keys import assign_keys, max_key
 from starmill.operators.merge import scd1_merge
 from starmill.sources.shared import Scratch
@@ -27,7 +28,7 @@ class Dimension:
 
     def source(self, staged: DataFrame) -> DataFrame:
         """Distinct staged members, missing labels filled in."""
-        columns = [F.coalesce(c, F.lit(self.defaults[c])).alias(c) if c in self.defaults else F.col(c)
+        columns = [default_to(c, self.defaults[c]).alias(c) if c in self.defaults else c
                    for c in self.attributes.values()]
         return staged.select(self.staged_id, *columns).distinct()
 

@@ -166,4 +166,5 @@ def order_year() -> Column:
 
 def conform(df: DataFrame, schema) -> DataFrame:
     """Columns and types of ``schema``, in its order."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+                           for f in schema.fields])
