@@ -9,6 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from starmill.operators.merge import fits_broadcast
 from starmill.operators.slices import (
     HOT_ROWS, SLICE_MINUTES, across_slices, find_hot_keys, hand_over, split_hot)
 from starmill.sources.shared import Scratch
@@ -95,6 +96,8 @@ def scd2_incremental(history: DataFrame, delta: DataFrame, keys: Sequence[str],
     """
     keys, attributes = list(keys), list(attributes)
     touched = delta.groupBy(*keys).agg(F.min(ts).alias("_since"))
+    if fits_broadcast(touched):
+        touched = F.broadcast(touched)  # the usual small delta: the history is not shuffled
     marked = history.join(touched, keys, "left")
     untouched = F.col("_since").isNull() | F.coalesce(F.col("valid_to") < F.col("_since"), F.lit(False))
     kept = marked.where(untouched).select(*history.columns)

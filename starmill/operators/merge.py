@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from starmill.functions.scalars import any_differs, sql_literal
 
@@ -56,8 +57,8 @@ class Merge:
 
 def scd1_merge(target: DataFrame, source: DataFrame, keys: Sequence[str] | Mapping[str, str],
                attributes: Sequence[str] | Mapping[str, str], *, stamps: Mapping[str, object],
-               null_safe: bool = True, newer_by: str | None = None,
-               broadcast_source: bool | None = None) -> Merge:
+               null_safe: bool = True, collation: str | None = None,
+               newer_by: str | None = None, broadcast_source: bool | None = None) -> Merge:
     """Match ``source`` to ``target`` on ``keys`` and decide an ``action`` for each row.
 
     ``keys`` and ``attributes`` map target columns to source columns. A matched row is an
@@ -65,7 +66,8 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: Sequence[str] | Mappi
     ``insert``; target rows without a source row are kept. ``stamps`` (load time, user) are
     written on updates and inserts. With ``newer_by`` an update also needs a greater value in
     that column, which makes batches safe to repeat and to reorder. Other target columns, the
-    surrogate key among them, are NULL on inserts.
+    surrogate key among them, are NULL on inserts. Strings are compared byte by byte unless a
+    ``collation`` is named, such as ``UTF8_LCASE_RTRIM`` to ignore case and trailing blanks.
 
     ``broadcast_source`` picks the join: a small batch is broadcast and the target is never
     shuffled; otherwise one full outer join on the key shuffles each side once. ``None`` counts
@@ -85,8 +87,13 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: Sequence[str] | Mappi
         "true AS _in_source")
     current = target.selectExpr("*", "true AS _in_target")
     same_key = [F.col(t) == F.col(f"_key_{t}") for t in keys]
-    compare = "NOT (`{0}` <=> `_new_{0}`)" if null_safe else "coalesce(`{0}` <> `_new_{0}`, false)"
-    changed = " OR ".join(compare.format(t) for t in attributes)
+    compare = "NOT ({0} <=> {1})" if null_safe else "coalesce({0} <> {1}, false)"
+
+    def operands(name: str) -> list[str]:
+        collated = collation is not None and isinstance(target.schema[name].dataType, StringType)
+        return [f"`{c}` COLLATE {collation}" if collated else f"`{c}`" for c in (name, f"_new_{name}")]
+
+    changed = " OR ".join(compare.format(*operands(t)) for t in attributes)
     if newer_by is not None:
         changed = (f"({changed}) AND coalesce(`{newer_by}` IS NULL"
                    f" OR `_new_{newer_by}` > `{newer_by}`, false)")

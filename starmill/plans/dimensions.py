@@ -67,13 +67,15 @@ DIMENSIONS = {
 
 def merge_dimension(dim: Dimension, target: DataFrame, source: DataFrame,
                     stamps: Mapping[str, object], scratch: Scratch | None = None,
-                    null_safe: bool = True, broadcast_source: bool | None = None) -> DataFrame:
+                    null_safe: bool = True, collation: str | None = None,
+                    broadcast_source: bool | None = None) -> DataFrame:
     """The dimension after one load, with the ``action`` taken for each member.
 
     New members get the keys after the greatest one in use, in the order of their business id.
     """
     merge = scd1_merge(target, source, {dim.business_id: dim.staged_id}, dim.attributes,
-                       stamps=stamps, null_safe=null_safe, broadcast_source=broadcast_source)
+                       stamps=stamps, null_safe=null_safe, collation=collation,
+                       broadcast_source=broadcast_source)
     new = assign_keys(merge.new.drop(dim.key), [dim.business_id], dim.key,
                       start=max_key(target, dim.key), scratch=scratch)
     return merge.existing.unionByName(new)

@@ -1,13 +1,14 @@
 """Extracts: normalised source tables to one staging row per entity.
 
 ``src`` maps source table names to DataFrames. Each extract filters its driving table on the
-modification time before the first join, so the filter reaches that table's scan.
+modification time before the first join, so the filter reaches that table's scan. ``lookback``
+re-reads a span before the watermark for rows that arrived late.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -18,6 +19,8 @@ from starmill.operators.lookup import one_per_key
 
 Sources = Mapping[str, DataFrame]
 
+NONE = timedelta(0)
+
 
 def _contact(df: DataFrame, *columns: str) -> DataFrame:
     """The newest contact row of each person, so the join below cannot multiply customers."""
@@ -26,38 +29,45 @@ def _contact(df: DataFrame, *columns: str) -> DataFrame:
     return newest.drop("modified_date")
 
 
-def extract_customer(src: Sources, last: datetime) -> DataFrame:
-    c = incremental(src["customer"], "modified_date", last).alias("c")
-    person = src["person"].alias("p")
-    email = _contact(src["email_address"], "email_address").alias("e")
-    phone = _contact(src["person_phone"], "phone_number").alias("t")
-    link = _contact(src["business_entity_address"], "address_id").alias("l")
-    address, state, country = (
-        src["address"].alias("a"), src["state_province"].alias("s"), src["country_region"].alias("r"))
-    joined = (
-        c.join(person, F.col("c.person_id") == F.col("p.business_entity_id"), "left")
-        .join(email, F.col("p.business_entity_id") == F.col("e.business_entity_id"), "left")
-        .join(phone, F.col("p.business_entity_id") == F.col("t.business_entity_id"), "left")
-        .join(link, F.col("p.business_entity_id") == F.col("l.business_entity_id"), "left")
-        .join(address, F.col("l.address_id") == F.col("a.address_id"), "left")
-        .join(state, F.col("a.state_province_id") == F.col("s.state_province_id"), "left")
-        .join(country, F.col("s.country_region_code") == F.col("r.country_region_code"), "left"))
+def extract_customer(src: Sources, last: datetime, lookback: timedelta = NONE) -> DataFrame:
+    """Customers with the name, newest contact and place of their person.
+
+    Everything about a person is joined first, all on the person's id, so those joins share one
+    partitioning. Customers meet it in a single join, the only one in which companies carry a
+    NULL key.
+    """
+    place = (
+        _contact(src["business_entity_address"], "address_id")
+        .join(src["address"], "address_id", "left")
+        .join(src["state_province"].withColumnRenamed("name", "state_province"),
+              "state_province_id", "left")
+        .join(src["country_region"].withColumnRenamed("name", "country"),
+              "country_region_code", "left")
+        .select("business_entity_id", "city", "state_province", "country"))
+    people = (
+        src["person"]
+        .join(_contact(src["email_address"], "email_address"), "business_entity_id", "left")
+        .join(_contact(src["person_phone"], "phone_number"), "business_entity_id", "left")
+        .join(place, "business_entity_id", "left"))
+    customers = incremental(src["customer"], "modified_date", last, lookback)
+    joined = customers.join(
+        people, customers["person_id"] == people["business_entity_id"], "left")
     return joined.select(
-        "c.customer_id",
-        "c.person_id",
-        F.when(F.col("c.person_id").isNotNull(), PERSON).otherwise(COMPANY).alias("customer_type"),
-        null_tolerant_concat("p.first_name", "p.last_name").alias("full_name"),
-        F.col("e.email_address").alias("email"),
-        F.col("t.phone_number").alias("phone"),
-        "a.city",
-        F.col("s.name").alias("state_province"),
-        F.col("r.name").alias("country"),
-        "c.territory_id",
-        "c.modified_date")
+        "customer_id",
+        "person_id",
+        F.when(F.col("person_id").isNotNull(), PERSON).otherwise(COMPANY).alias("customer_type"),
+        null_tolerant_concat("first_name", "last_name").alias("full_name"),
+        F.col("email_address").alias("email"),
+        F.col("phone_number").alias("phone"),
+        "city",
+        "state_province",
+        "country",
+        "territory_id",
+        "modified_date")
 
 
-def extract_product(src: Sources, last: datetime) -> DataFrame:
-    p = incremental(src["product"], "modified_date", last).alias("p")
+def extract_product(src: Sources, last: datetime, lookback: timedelta = NONE) -> DataFrame:
+    p = incremental(src["product"], "modified_date", last, lookback).alias("p")
     s, c = src["product_subcategory"].alias("s"), src["product_category"].alias("c")
     joined = (
         p.join(s, F.col("p.product_subcategory_id") == F.col("s.product_subcategory_id"), "left")
@@ -78,12 +88,12 @@ def extract_product(src: Sources, last: datetime) -> DataFrame:
         "p.modified_date")
 
 
-def extract_salesperson(src: Sources, last: datetime) -> DataFrame:
+def extract_salesperson(src: Sources, last: datetime, lookback: timedelta = NONE) -> DataFrame:
     """Salespersons that are employees and persons; the territory is optional.
 
     Persons come from ``seller`` where the source keeps salespersons apart from customers.
     """
-    sp = incremental(src["sales_person"], "modified_date", last).alias("sp")
+    sp = incremental(src["sales_person"], "modified_date", last, lookback).alias("sp")
     person = src["seller"] if "seller" in src else src["person"]
     e, p, t = src["employee"].alias("e"), person.alias("p"), src["sales_territory"].alias("t")
     joined = (
@@ -103,8 +113,8 @@ def extract_salesperson(src: Sources, last: datetime) -> DataFrame:
         "sp.modified_date")
 
 
-def extract_promotion(src: Sources, last: datetime) -> DataFrame:
-    return incremental(src["special_offer"], "modified_date", last).select(
+def extract_promotion(src: Sources, last: datetime, lookback: timedelta = NONE) -> DataFrame:
+    return incremental(src["special_offer"], "modified_date", last, lookback).select(
         F.col("special_offer_id").alias("promotion_id"),
         F.col("description").alias("promotion_name"),
         "discount_pct",
@@ -117,8 +127,8 @@ def extract_promotion(src: Sources, last: datetime) -> DataFrame:
         "modified_date")
 
 
-def extract_territory(src: Sources, last: datetime) -> DataFrame:
-    return incremental(src["sales_territory"], "modified_date", last).select(
+def extract_territory(src: Sources, last: datetime, lookback: timedelta = NONE) -> DataFrame:
+    return incremental(src["sales_territory"], "modified_date", last, lookback).select(
         "territory_id",
         F.col("name").alias("territory_name"),
         F.col("country").alias("country_name"),

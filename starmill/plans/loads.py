@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -72,12 +72,12 @@ class Warehouse:
 
     # -- staging ---------------------------------------------------------------------------
 
-    def stage(self, entity: str, src: Sources) -> None:
+    def stage(self, entity: str, src: Sources, lookback: timedelta = timedelta(0)) -> None:
         """Replace the staging table of ``entity`` with the rows modified since the last run."""
         process, table, schema = STAGING_PROCESS[entity], f"stg/{entity}", STAGING[entity]
         with self._run(process) as run:
             last = self.log.last_watermark(process)
-            staged = tag_batch(EXTRACTS[entity](src, last), run.batch_id, self.clock())
+            staged = tag_batch(EXTRACTS[entity](src, last, lookback), run.batch_id, self.clock())
             self.store.write(table, conform(staged, schema))
             written = self.store.read(table, schema)
             run.rows, run.watermark = next_watermark(
@@ -91,7 +91,7 @@ class Warehouse:
     def load_calendar(self, start: date = date(2000, 1, 1), end: date = date(2030, 12, 31)) -> None:
         self.store.write("dw/dim_date", calendar(self.spark, start, end).coalesce(1))
 
-    def load_dimension(self, name: str, null_safe: bool = True) -> None:
+    def load_dimension(self, name: str, null_safe: bool = True, collation: str | None = None) -> None:
         """Merge the staged batch into the dimension and write its next snapshot."""
         dim, schema, table = DIMENSIONS[name], WAREHOUSE[name], f"dw/{name}"
         with self._run(dim.process) as run, Scratch(self.spark, name) as scratch:
@@ -102,7 +102,7 @@ class Warehouse:
             target, now = self.store.read(table, schema), self.clock()
             merged = merge_dimension(
                 dim, target, source, {"loaded_at": now, "load_user": self.user}, scratch,
-                null_safe=null_safe, broadcast_source=members <= BROADCAST_ROWS)
+                null_safe=null_safe, collation=collation, broadcast_source=members <= BROADCAST_ROWS)
             self.store.write(table, conform(merged, schema))
             # Inserted and updated rows are the ones that carry this run's time.
             run.rows = self.store.read(table, schema).where(

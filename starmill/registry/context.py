@@ -28,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name)
 
 
-def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     return read_tables(spark, sf_dir, TABLES)
 
 

@@ -6,7 +6,9 @@ source as it was at an earlier time, so inserts, updates and kept rows come from
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmill.functions.calendar import calendar
 from starmill.functions.scalars import date_key
@@ -67,7 +69,7 @@ def _latest_priority(orders: DataFrame) -> DataFrame:
     return latest.select("o_custkey", F.nullif("o_orderpriority", F.lit("4-NOT SPECIFIED")).alias("priority"))
 
 
-def _customers_at(t: dict[str, DataFrame], orders: DataFrame) -> DataFrame:
+def _customers_at(t: Mapping[str, DataFrame], orders: DataFrame) -> DataFrame:
     return t["customer"].join(_latest_priority(orders), F.col("c_custkey") == F.col("o_custkey")).select(
         F.col("c_custkey").alias("customer_id"), F.col("c_mktsegment").alias("segment"), "priority")
 
@@ -129,7 +131,7 @@ def merge_territory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merged(spark, "dim_territory", before, now)
 
 
-def _sellers_at(t: dict[str, DataFrame], lines: DataFrame) -> DataFrame:
+def _sellers_at(t: Mapping[str, DataFrame], lines: DataFrame) -> DataFrame:
     """Job and territory follow the latest line a supplier shipped, per ``batch_id``."""
     latest = one_per_key(
         lines.select("batch_id", "l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey",
@@ -149,11 +151,12 @@ def merge_salesperson(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = tables(spark, sf_dir)
     lines = t["lineitem"].withColumn("batch_id", F.year("l_shipdate").cast("string"))
     before = _sellers_at(t, _until(lines, "l_shipdate", "1995-01-05"))
-    after = latest_batch(_sellers_at(t, lines))
+    staged = Scratch(spark, "staged").table(_sellers_at(t, lines))
+    after = latest_batch(staged)
     return _merged(spark, "dim_salesperson", before, after)
 
 
-def _products_at(t: dict[str, DataFrame], lines: DataFrame) -> DataFrame:
+def _products_at(t: Mapping[str, DataFrame], lines: DataFrame) -> DataFrame:
     """A part whose latest line was returned has been taken out of its category."""
     latest = one_per_key(
         lines.select("l_partkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag"),

@@ -10,9 +10,6 @@ from starmill.registry.context import loaded_warehouse, roles, star
 from starmill.registry.sql import STAR
 from starmill.sources.roles import LINE_ORDER, sales_person
 
-_CUT = "1999-01-01"
-
-
 def fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, dims = roles(spark, sf_dir), loaded_warehouse(spark, sf_dir).dimensions()
     return load_fact(src["sales_order_detail"], src["sales_order_header"], dims,
@@ -24,11 +21,10 @@ def unknown_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def idempotent_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact holds the orders before the cut; the load meets all lines again."""
-    src, dims = roles(spark, sf_dir), loaded_warehouse(spark, sf_dir).dimensions()
-    before = src["sales_order_header"].where(F.col("order_date") < F.lit(_CUT).cast("timestamp_ntz"))
-    existing = load_fact(src["sales_order_detail"], before, dims, sales_person=sales_person())
-    return load_fact(src["sales_order_detail"], src["sales_order_header"], dims, existing=existing,
+    """The stored fact holds the orders before 1999; the load meets all lines again."""
+    src, stored = roles(spark, sf_dir), star(spark, sf_dir)
+    existing = marts.in_date_keys(stored["fact_sales"], 19000101, 19981231)
+    return load_fact(src["sales_order_detail"], src["sales_order_header"], stored, existing=existing,
                      duplicates="first", line_order=LINE_ORDER, sales_person=sales_person())
 
 
@@ -50,7 +46,7 @@ ORACLE = {
     "fact_idempotent_load": f"""
         WITH {STAR},
         newer AS (
-            SELECT * FROM lines WHERE o_orderdate >= '{_CUT}'
+            SELECT * FROM lines WHERE o_orderdate >= '1999-01-01'
             QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY l_linenumber,
                 l_suppkey, l_extendedprice, l_shipdate, l_quantity, l_discount, l_tax, l_returnflag,
                 l_linestatus) = 1)

@@ -43,7 +43,7 @@ def unit_price() -> Column:
     qty = F.col("l_quantity").cast("long")
     cents = (money("l_extendedprice") * 100).cast("long")
     price_cents = F.call_function("div", 2 * cents + qty, 2 * qty).cast("decimal(10,0)")
-    return (price_cents / F.lit(100).cast("decimal(3,0)")).cast("decimal(10,2)")
+    return (price_cents * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(10,2)")
 
 
 def promotion_id() -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,5 +11,26 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def read_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[str, DataFrame]:
-    return {name: read_table(spark, folder, name) for name in names}
+class TableFolder(Mapping):
+    """The named tables of a folder; each is opened when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str, names: Iterable[str]):
+        self._spark, self._folder, self._names = spark, folder, tuple(names)
+        self._open: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        if name not in self._open:
+            self._open[name] = read_table(self._spark, self._folder, name)
+        return self._open[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
+def read_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> TableFolder:
+    return TableFolder(spark, folder, names)

@@ -103,6 +103,15 @@ def test_second_run_stages_only_newer_rows(spark, warehouse, rows):
     assert warehouse.log.last_watermark(labels.STG_PRODUCT) == D3
 
 
+def test_lookback_stages_late_rows(spark, warehouse, rows):
+    warehouse.stage("product", source(spark))
+    late = [*TABLES["product"][1], (103, "Late", None, None, None, None, None, None, None, None, None,
+                                    D2 - timedelta(hours=1))]
+    warehouse.stage("product", source(spark, product=late), lookback=timedelta(days=1))
+    assert rows(warehouse.staged("product"), "product_id") == [(102,), (103,)]
+    assert warehouse.log.last_watermark(labels.STG_PRODUCT) == D2
+
+
 def test_empty_batch(spark, warehouse):
     warehouse.stage("customer", source(spark))
     warehouse.stage("customer", source(spark))
