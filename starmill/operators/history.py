@@ -6,6 +6,7 @@ A version is valid from ``valid_from`` (included) to ``valid_to`` (excluded, NUL
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -127,6 +128,11 @@ def point_in_time(facts: DataFrame, history: DataFrame, keys: Sequence[str], ts:
     """
     keys = list(keys)
     scratch = scratch or Scratch(facts.sparkSession, "point-in-time")
+    # Facts without a key match nothing, however many there are.
+    unkeyed = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    unmatched = facts.where(unkeyed).select(
+        "*", *[F.lit(None).cast(history.schema[a].dataType).alias(a) for a in attributes])
+    facts = facts.where(~unkeyed)
     version = F.struct(*attributes, "valid_to")
     version_type = history.select(version.alias("v")).schema["v"].dataType
     payload_type = facts.select(F.struct(*facts.columns).alias("f")).schema["f"].dataType
@@ -149,7 +155,7 @@ def point_in_time(facts: DataFrame, history: DataFrame, keys: Sequence[str], ts:
             "_fact.*", *[F.when(holds, found[a]).alias(a) for a in attributes])
 
     if hot is None:
-        return resolve(carried_within(line, keys), F.col("_valid"))
+        return resolve(carried_within(line, keys), F.col("_valid")).unionByName(unmatched)
     ordinary, busy = split_hot(line, keys, "_at", hot, slice_minutes)
     earlier = across_slices(keys).rowsBetween(Window.unboundedPreceding, -1)
     busy = hand_over(
@@ -157,4 +163,4 @@ def point_in_time(facts: DataFrame, history: DataFrame, keys: Sequence[str], ts:
         summary={"_last": F.max_by("_version", F.when(F.col("_kind") == 0, F.col("_at")))},
         across={"_carried": F.last("_last", ignorenulls=True).over(earlier)})
     return (resolve(carried_within(ordinary, keys), F.col("_valid"))
-            .unionByName(resolve(busy, F.coalesce("_valid", "_carried"))))
+            .unionByName(resolve(busy, F.coalesce("_valid", "_carried"))).unionByName(unmatched))

@@ -36,9 +36,10 @@ def find_hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None,
 def split_hot(df: DataFrame, keys: Sequence[str], ts: str, hot: DataFrame,
               minutes: int) -> tuple[DataFrame, DataFrame]:
     """Rows of ordinary keys, and rows of hot keys with the ``_slice`` of time they fall into."""
-    ordinary = df.join(F.broadcast(hot), list(keys), "left_anti")
-    busy = df.join(F.broadcast(hot), list(keys), "left_semi")
-    return ordinary, busy.withColumn("_slice", minute_index(ts, minutes))
+    hot = F.broadcast(hot.toDF(*[f"_hot_{k}" for k in keys]))
+    same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]  # the hot key may be NULL
+    busy = df.join(hot, same, "left_semi")
+    return df.join(hot, same, "left_anti"), busy.withColumn("_slice", minute_index(ts, minutes))
 
 
 def across_slices(keys: Sequence[str]) -> WindowSpec:
@@ -55,5 +56,7 @@ def hand_over(rows: DataFrame, keys: Sequence[str], summary: dict[str, Column],
     twice and should be a written table.
     """
     slices = rows.groupBy(*keys, "_slice").agg(*[c.alias(n) for n, c in summary.items()])
-    handed = slices.select(*keys, "_slice", *[c.alias(n) for n, c in across.items()])
-    return rows.join(handed, [*keys, "_slice"], "left")
+    handed = slices.select(*[F.col(c).alias(f"_at_{c}") for c in [*keys, "_slice"]],
+                           *[c.alias(n) for n, c in across.items()])
+    same = [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in [*keys, "_slice"]]
+    return rows.join(handed, same, "left").select(*rows.columns, *across)

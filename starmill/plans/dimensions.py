@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starmill.functions import labels
 from starmill.functions.scalars import default_to
@@ -28,9 +28,17 @@ class Dimension:
 
     def source(self, staged: DataFrame) -> DataFrame:
         """Distinct staged members, missing labels filled in."""
-        columns = [default_to(c, self.defaults[c]).alias(c) if c in self.defaults else c
-                   for c in self.attributes.values()]
-        return staged.select(self.staged_id, *columns).distinct()
+        return staged.select(self.staged_id, *[self._value(c).alias(c) for c in self.attributes.values()]
+                             ).distinct()
+
+    def observations(self, staged: DataFrame) -> DataFrame:
+        """Staged members under the dimension's column names, with their modification time."""
+        return staged.select(F.col(self.staged_id).alias(self.business_id),
+                             *[self._value(s).alias(t) for t, s in self.attributes.items()],
+                             "modified_date")
+
+    def _value(self, column: str) -> Column:
+        return default_to(column, self.defaults[column]) if column in self.defaults else F.col(column)
 
 
 DIMENSIONS = {

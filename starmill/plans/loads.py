@@ -17,6 +17,7 @@ from starmill.functions import labels
 from starmill.functions.calendar import calendar
 from starmill.functions.scalars import time_literal
 from starmill.operators.incremental import latest_batch, next_watermark, tag_batch
+from starmill.operators.history import scd2_history, scd2_incremental
 from starmill.operators.keys import with_unknown_member
 from starmill.operators.merge import BROADCAST_ROWS, count_unambiguous
 from starmill.plans.audit import RunLog
@@ -108,6 +109,28 @@ class Warehouse:
             run.rows = self.store.read(table, schema).where(
                 F.col("loaded_at") == time_literal(now)).count()
 
+    def load_history(self, name: str) -> None:
+        """Add the staged batch to the type 2 history of a dimension.
+
+        A member's attributes are taken to hold from its modification time on. The history is
+        kept beside the type 1 dimension, under its name with ``_history`` added.
+        """
+        dim, table = DIMENSIONS[name], f"dw/{name}_history"
+        with self._run(f"{dim.process}_HISTORY") as run, Scratch(self.spark, name) as scratch:
+            observed = dim.observations(latest_batch(self.staged(dim.staging)))
+            history = self.store.read(table) if self.store.exists(table) else None
+            options = dict(keys=[dim.business_id], ts="modified_date",
+                           attributes=list(dim.attributes), scratch=scratch)
+            if history is None:
+                versions = scd2_history(observed, **options)
+            else:
+                versions = scd2_incremental(history, observed, **options)
+            self.store.write(table, versions)
+            run.rows = observed.count()
+
+    def history(self, name: str) -> DataFrame:
+        return self.store.read(f"dw/{name}_history")
+
     def seed_unknown_salesperson(self) -> None:
         """Add the member that stands for sales without a salesperson; needed once."""
         name = "dim_salesperson"

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starmill.functions.labels import NO_CATEGORY, NO_GROUP
+from starmill.operators.history import point_in_time
 from starmill.operators.keys import rank_all
 from starmill.sources.shared import Scratch
 
@@ -130,6 +131,16 @@ def territory_category_from_sources(src: Star) -> DataFrame:
         "sales_order_id", "line_total"))
 
 
+def sales_at_time_of_sale(lines: DataFrame, history: DataFrame, key: str, ts: str,
+                          attribute: str) -> DataFrame:
+    """Sales by the value an attribute of ``key`` had when each line was sold.
+
+    ``history`` holds the versions of ``key``; lines outside every version count under NULL.
+    """
+    placed = point_in_time(lines.select(key, ts, "line_total"), history, [key], ts, [attribute])
+    return placed.groupBy(attribute).agg(F.count("*").alias("lines"), total("line_total").alias("sales"))
+
+
 def in_date_keys(fact: DataFrame, first: int, last: int) -> DataFrame:
     """Lines between two date keys; a fact stored by year is read for those years only."""
     lines = fact.where(F.col("date_key").between(first, last))

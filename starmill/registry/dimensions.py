@@ -131,7 +131,7 @@ def merge_territory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merged(spark, "dim_territory", before, now)
 
 
-def _sellers_at(t: Mapping[str, DataFrame], lines: DataFrame) -> DataFrame:
+def sellers_at(t: Mapping[str, DataFrame], lines: DataFrame) -> DataFrame:
     """Job and territory follow the latest line a supplier shipped, per ``batch_id``."""
     latest = one_per_key(
         lines.select("batch_id", "l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey",
@@ -150,8 +150,8 @@ def merge_salesperson(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staging holds one batch per shipping year; the merge takes the latest."""
     t = tables(spark, sf_dir)
     lines = t["lineitem"].withColumn("batch_id", F.year("l_shipdate").cast("string"))
-    before = _sellers_at(t, _until(lines, "l_shipdate", "1995-01-05"))
-    staged = Scratch(spark, "staged").table(_sellers_at(t, lines))
+    before = sellers_at(t, _until(lines, "l_shipdate", "1995-01-05"))
+    staged = Scratch(spark, "staged").table(sellers_at(t, lines))
     after = latest_batch(staged)
     return _merged(spark, "dim_salesperson", before, after)
 

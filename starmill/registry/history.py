@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmill.operators.history import point_in_time, scd2_history, scd2_incremental
-from starmill.registry.context import table
+from starmill.plans import marts
+from starmill.plans.facts import order_lines
+from starmill.registry.context import roles, table, tables
+from starmill.registry.dimensions import sellers_at
+from starmill.registry.sql import LINES
+from starmill.sources.roles import sales_person
 from starmill.sources.shared import Scratch
 
 _KEYS, _STATE = ["user_id"], ["event_type"]
@@ -37,7 +42,25 @@ def purchases_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count("*").alias("purchases"), F.sum("value").cast("decimal(22,2)").alias("value"))
 
 
+def seller_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Territory of each supplier as last observed in every month it shipped in."""
+    t = tables(spark, sf_dir)
+    lines = t["lineitem"].withColumn("batch_id", F.date_format("l_shipdate", "yyyy-MM"))
+    return sellers_at(t, lines).select("salesperson_id", "territory_id", F.col("loaded_at").alias("seen_at"))
+
+
+def sales_by_territory_then(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales by the territory the salesperson had at the time of the sale, not the latest one."""
+    states = Scratch(spark, "dim").table(scd2_history(
+        seller_states(spark, sf_dir), ["salesperson_id"], "seen_at", ["territory_id"]))
+    src = roles(spark, sf_dir)
+    lines = order_lines(src["sales_order_detail"], src["sales_order_header"], sales_person())
+    return marts.sales_at_time_of_sale(lines.withColumnRenamed("sales_person_id", "salesperson_id"),
+                                       states, "salesperson_id", "order_date", "territory_id")
+
+
 QUERIES = {
+    "scd2_sales_by_territory_then": sales_by_territory_then,
     "scd2_history": history,
     "scd2_incremental": incremental,
     "scd2_point_in_time_join": purchases_by_state,
@@ -56,6 +79,23 @@ def _versions(condition: str) -> str:
 
 
 ORACLE = {
+    "scd2_sales_by_territory_then": f"""
+        WITH lines AS ({LINES}),
+        seen AS (
+            SELECT l_suppkey, l_shipdate,
+                   CASE WHEN l_linestatus = 'O' THEN CAST(s_nationkey AS BIGINT) END AS territory_id
+            FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+            QUALIFY row_number() OVER (
+                PARTITION BY l_suppkey, strftime(l_shipdate, '%Y-%m') ORDER BY l_shipdate DESC,
+                l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_returnflag DESC,
+                l_linestatus DESC) = 1),
+        states AS (
+            SELECT *, lead(l_shipdate) OVER (PARTITION BY l_suppkey ORDER BY l_shipdate) AS until
+            FROM seen)
+        SELECT s.territory_id, count(*) AS lines, CAST(sum(line_total) AS DECIMAL(22,2)) AS sales
+        FROM lines l LEFT JOIN states s ON l.seller = s.l_suppkey AND l.o_orderdate >= s.l_shipdate
+             AND (s.until IS NULL OR l.o_orderdate < s.until)
+        GROUP BY s.territory_id""",
     "scd2_history": _versions("true"),
     "scd2_incremental": _versions("true"),
     "scd2_point_in_time_join": f"""

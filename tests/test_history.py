@@ -111,6 +111,20 @@ def test_point_in_time_matches_a_range_join(spark, rows, hot_rows, minutes):
     assert rows(found) == rows(expected) and found.count() == 400
 
 
+@pytest.mark.parametrize("hot_rows", [None, 50])
+def test_null_keys(spark, rows, hot_rows):
+    """NULL is a key like any other in a feed, and matches nothing as the key of a fact."""
+    data = random_feed(6)
+    nulled = [(None if d[0] == 0 else d[0], *d[1:]) for d in data]
+    found = history_of(spark, nulled, hot_rows=hot_rows)
+    expected = [(None if v[0] == 0 else v[0], *v[1:]) for v in brute_force(data)]
+    assert rows(found) == rows(spark.createDataFrame(expected, found.schema))
+    facts = spark.createDataFrame([(None, at(100), i) for i in range(60)] + [(1, at(2999), 60)],
+                                  "k int, ts timestamp_ntz, sale int")
+    placed = point_in_time(facts, found, ["k"], "ts", ["version"], hot_rows=hot_rows)
+    assert placed.count() == 61 and placed.where("version is not null").count() == 1
+
+
 def test_a_sale_at_a_change_gets_the_new_version_and_gaps_get_none(spark, rows):
     versions = spark.createDataFrame(
         [(1, "a", at(0), at(10)), (1, "b", at(10), at(20)), (1, "c", at(30), None)],

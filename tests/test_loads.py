@@ -257,6 +257,24 @@ def test_quality_reports(spark, loaded, rows):
         "dropped: order header": 2, "dropped: dim_product": 1, "loaded": 2, "source": 5}
 
 
+def test_history_dimension_places_sales_in_the_territory_of_their_time(spark, warehouse, rows):
+    moves = [[(21, 1, None, None, None, D1)], [(21, 2, None, None, None, D2)]]
+    for people in moves:
+        warehouse.stage("salesperson", source(spark, sales_person=people))
+        warehouse.load_history("dim_salesperson")
+    history = warehouse.history("dim_salesperson")
+    assert rows(history, "salesperson_id_source", "territory_id_source", "valid_from", "valid_to",
+                "is_current", "version") == [(21, 1, D1, D2, False, 1), (21, 2, D2, None, True, 2)]
+    heads = [(1, D1, 1, 21, 1), (2, D2 - timedelta(days=1), 1, 21, 1), (3, D2, 1, 21, 1), (4, D3, 1, None, 1)]
+    lines = [(o, 101, 1, 1, Decimal("1"), Decimal("0"), Decimal(o)) for o in (1, 2, 3, 4)]
+    src = source(spark, sales_order_header=heads, sales_order_detail=lines)
+    sold = order_lines(src["sales_order_detail"], src["sales_order_header"]).withColumnRenamed(
+        "sales_person_id", "salesperson_id_source")
+    found = marts.sales_at_time_of_sale(sold, history, "salesperson_id_source", "order_date",
+                                        "territory_id_source")
+    assert rows(found) == [(1, 2, Decimal("3.00")), (2, 1, Decimal("3.00")), (None, 1, Decimal("4.00"))]
+
+
 # -- marts and audit ---------------------------------------------------------------------------
 
 def test_star_answers_like_the_source(spark, loaded, rows):
