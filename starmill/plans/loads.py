@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 from datetime import date, datetime, timedelta, timezone
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -27,6 +28,7 @@ from starmill.plans.facts import LOOKUPS, load_fact
 from starmill.schemas import STAGING, WAREHOUSE
 from starmill.sources.shared import Scratch
 from starmill.sources.store import Store
+from starmill.sources.tables import OpenOnUse
 
 STAGING_PROCESS = {
     "customer": labels.STG_CUSTOMER,
@@ -173,14 +175,15 @@ class Warehouse:
             run.rows = self.store.read_part(
                 "dw/fact_sales", run.batch_id, WAREHOUSE["fact_sales"]).count()
 
-    def dimensions(self) -> dict[str, DataFrame]:
-        return {l.dimension: self.dimension(l.dimension) for l in LOOKUPS}
+    def dimensions(self) -> Mapping[str, DataFrame]:
+        return OpenOnUse({l.dimension: partial(self.dimension, l.dimension) for l in LOOKUPS})
 
     def sales(self) -> DataFrame:
         return self.store.read("dw/fact_sales", WAREHOUSE["fact_sales"])
 
-    def star(self) -> dict[str, DataFrame]:
-        return {**self.dimensions(), "fact_sales": self.sales()}
+    def star(self) -> Mapping[str, DataFrame]:
+        return OpenOnUse({**{l.dimension: partial(self.dimension, l.dimension) for l in LOOKUPS},
+                          "fact_sales": self.sales})
 
 
 def order_year() -> Column:

@@ -60,5 +60,5 @@ def loaded_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return _loaded[key]
 
 
-def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def star(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     return loaded_warehouse(spark, sf_dir).star()

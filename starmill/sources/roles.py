@@ -8,12 +8,14 @@ latest related order, shipment or event.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Mapping
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starmill.functions.scalars import time_literal
+from starmill.sources.tables import OpenOnUse
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
@@ -260,21 +262,6 @@ ROLES: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
-class SourceRoles(Mapping):
-    """The roles over a set of tables; each is put together when it is asked for."""
-
-    def __init__(self, tables: Tables):
-        self._tables = tables
-
-    def __getitem__(self, role: str) -> DataFrame:
-        return ROLES[role](self._tables)
-
-    def __iter__(self) -> Iterator[str]:
-        return iter(ROLES)
-
-    def __len__(self) -> int:
-        return len(ROLES)
-
-
-def source_roles(tables: Tables) -> SourceRoles:
-    return SourceRoles(tables)
+def source_roles(tables: Tables) -> OpenOnUse:
+    """Every role over a set of tables."""
+    return OpenOnUse({name: partial(role, tables) for name, role in ROLES.items()})

@@ -2,35 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
-class TableFolder(Mapping):
-    """The named tables of a folder; each is opened when it is first asked for."""
+class OpenOnUse(Mapping):
+    """Named DataFrames, each put together when it is first asked for."""
 
-    def __init__(self, spark: SparkSession, folder: str, names: Iterable[str]):
-        self._spark, self._folder, self._names = spark, folder, tuple(names)
-        self._open: dict[str, DataFrame] = {}
+    def __init__(self, openers: Mapping[str, Callable[[], DataFrame]]):
+        self._openers = dict(openers)
+        self._opened: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._names:
-            raise KeyError(name)
-        if name not in self._open:
-            self._open[name] = read_table(self._spark, self._folder, name)
-        return self._open[name]
+        if name not in self._opened:
+            self._opened[name] = self._openers[name]()
+        return self._opened[name]
 
     def __iter__(self) -> Iterator[str]:
-        return iter(self._names)
+        return iter(self._openers)
 
     def __len__(self) -> int:
-        return len(self._names)
+        return len(self._openers)
+
+
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def read_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> TableFolder:
-    return TableFolder(spark, folder, names)
+def read_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> OpenOnUse:
+    return OpenOnUse({name: partial(read_table, spark, folder, name) for name in names})
