@@ -62,16 +62,20 @@ def any_differs(pairs: Mapping[Column, Column] | Iterable[tuple[Column, Column]]
     return reduce(lambda a, b: a | b, [differs(x, y, null_safe) for x, y in pairs], F.lit(False))
 
 
+def _seconds(ts: Column) -> Column:
+    """Whole seconds since 1970 of a wall-clock time.
+
+    Built from calendar fields, so clock changes of the session's time zone play no part.
+    """
+    days = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+
+
 def seconds_between(start: Column | str, end: Column | str) -> Column:
     """Second boundaries crossed from ``start`` to ``end``; NULL when either is NULL."""
-    return (F.unix_timestamp(_col(end)) - F.unix_timestamp(_col(start))).cast("long")
+    return (_seconds(_col(end)) - _seconds(_col(start))).cast("long")
 
 
 def minute_index(ts: Column | str, minutes: int) -> Column:
-    """Number of the ``minutes``-wide slot that holds ``ts``.
-
-    Built from calendar fields, so it never runs backwards under a time zone with clock changes.
-    """
-    ts = _col(ts)
-    days = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
-    return F.floor((days * 1440 + F.hour(ts) * 60 + F.minute(ts)) / F.lit(minutes)).cast("long")
+    """Number of the ``minutes``-wide slot that holds ``ts``; grows with ``ts``."""
+    return F.floor(_seconds(_col(ts)) / F.lit(minutes * 60)).cast("long")

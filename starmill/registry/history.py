@@ -45,7 +45,8 @@ def purchases_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 def seller_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Territory of each supplier as last observed in every month it shipped in."""
     t = tables(spark, sf_dir)
-    lines = t["lineitem"].withColumn("batch_id", F.date_format("l_shipdate", "yyyy-MM"))
+    month = F.year("l_shipdate") * 100 + F.month("l_shipdate")
+    lines = t["lineitem"].withColumn("batch_id", month.cast("string"))
     return sellers_at(t, lines).select("salesperson_id", "territory_id", F.col("loaded_at").alias("seen_at"))
 
 

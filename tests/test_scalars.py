@@ -41,6 +41,18 @@ def test_seconds_count_boundaries_and_are_null_while_running(spark, rows):
     assert rows(df.select(seconds_between("a", "b"))) == [(1,), (None,)]
 
 
+def test_seconds_ignore_clock_changes(spark, rows):
+    df = spark.createDataFrame([(datetime(2024, 3, 10, 1, 30), datetime(2024, 3, 10, 3, 30))],
+                               "a timestamp_ntz, b timestamp_ntz")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert rows(df.select(seconds_between("a", "b"), minute_index("b", 60) - minute_index("a", 60))) == [
+            (7200, 2)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_minute_index_grows_with_time(spark):
     df = spark.createDataFrame(
         [(datetime(1969, 12, 31, 23, 59),), (datetime(1970, 1, 1),), (datetime(1970, 1, 1, 1, 0),),
