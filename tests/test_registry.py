@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from starmill.registry import ORACLE, QUERIES
 from conftest import TESTDATA
 
 FOLDER = f"{TESTDATA}/sf0.001"
@@ -31,13 +32,13 @@ def table_of(arrow):
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", list(entry_module.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_sql(spark, duck, name):
-    found = table_of(entry_module.queries()[name](spark, FOLDER).toArrow())
-    expected = table_of(duck.sql(entry_module.oracle_sql()[name]).to_arrow_table())
+    found = table_of(QUERIES[name](spark, FOLDER).toArrow())
+    expected = table_of(duck.sql(ORACLE[name]).to_arrow_table())
     assert found == expected
 
 
@@ -50,29 +51,29 @@ def plan(df):
 
 
 def test_incremental_predicate_reaches_the_scan(spark):
-    text = plan(entry_module.queries()["stg_incremental_filter"](spark, FOLDER))
+    text = plan(QUERIES["stg_incremental_filter"](spark, FOLDER))
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThan(o_orderdate" in text
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in text
 
 
 def test_year_slice_prunes_fact_partitions(spark):
-    text = plan(entry_module.queries()["kpi_sliced"](spark, FOLDER))
+    text = plan(QUERIES["kpi_sliced"](spark, FOLDER))
     assert "order_year" in re.search(r"PartitionFilters: \[([^\]]*)\]", text[text.index("date_key"):]).group(1)
 
 
 def test_totals_read_two_columns(spark):
-    text = plan(entry_module.queries()["kpi_totals"](spark, FOLDER))
+    text = plan(QUERIES["kpi_totals"](spark, FOLDER))
     assert "ReadSchema: struct<order_qty:int,line_total:decimal(12,2)>" in text
 
 
 def test_no_query_pairs_rows_without_a_key(spark):
     for name in ("fact_load", "fact_idempotent_load", "scd2_point_in_time_join", "stg_extract_customer",
                  "audit_watermark_drift", "mart_territory_category", "dq_fact_reconciliation"):
-        text = plan(entry_module.queries()[name](spark, FOLDER))
+        text = plan(QUERIES[name](spark, FOLDER))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
 
 
 def test_known_lines_are_discarded_before_the_header_join(spark):
-    text = plan(entry_module.queries()["fact_idempotent_load"](spark, FOLDER))
+    text = plan(QUERIES["fact_idempotent_load"](spark, FOLDER))
     assert text.count("WindowGroupLimit") >= 2  # duplicates are cut before the shuffle
     assert "LeftAnti" in text
