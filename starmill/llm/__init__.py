@@ -7,9 +7,9 @@ from pyspark import cloudpickle
 # Functions sent to executors carry their code, so that the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-from starmill.llm import chat, html_text, language, line_dedup, near_dedup, packing, toxicity  # noqa: E402
+from starmill.llm import chat, decontaminate, html_text, language, line_dedup, near_dedup, packing, toxicity  # noqa: E402
 
-_MODULES = (language, html_text, packing, toxicity, line_dedup, chat, near_dedup)
+_MODULES = (language, html_text, packing, toxicity, line_dedup, chat, near_dedup, decontaminate)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}
