@@ -16,6 +16,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starmill.llm.tables import documents, slices
+from starmill.sources.shared import Scratch
 
 LONGEST = 5
 # Training reads about so many documents of each language, whole; chosen by a hash of doc_id.
@@ -104,39 +105,63 @@ class LanguageModel:
                 for entry, times in by_lang.get(lang, {}).items():
                     scores[rows[entry], column] = np.log(times / totals[lang])
             self.rows[n], self.scores[n] = rows, scores.astype(np.float32)
-        self._known: dict[str, np.ndarray] = {}
-
-    def word(self, word: str) -> np.ndarray:
-        row = self.rows.get(0, {}).get(word)
-        if row is not None:
-            return self.scores[0][row]
-        for n in range(LONGEST, 0, -1):
-            known = self.rows.get(n, {})
-            hits = [known[gram] for gram in grams_of(word, n) if gram in known]
-            if hits:
-                return self.scores[n][hits].mean(axis=0)
-        return np.zeros(len(self.languages))
-
-    def predict(self, text: str) -> tuple[str, float]:
-        """The language and how sure it is, 0 to 1; ``und`` without letters or learned languages."""
-        words = words_of(text)
-        if not words or not self.languages:
-            return NONE, 0.0
+        self._known: dict[str, int] = {}
+        self._scores = np.zeros((0, len(self.languages)), dtype=np.float32)
+
+    def score_words(self, words: list[str]) -> np.ndarray:
+        """Log frequencies of words, a row each: their own, or the mean over their longest known n-grams."""
+        found = np.zeros((len(words), len(self.languages)), dtype=np.float32)
+        own = self.rows.get(0, {})
+        hits: dict[int, tuple[list[int], list[int], list[int]]] = {
+            n: ([], [], []) for n in self.rows}  # places in words, numbers of hits, rows hit
+        for place, word in enumerate(words):
+            row = own.get(word)
+            if row is not None:
+                for held, value in zip(hits[0], (place, 1, row)):
+                    held.append(value)
+                continue
+            for n in range(LONGEST, 0, -1):
+                known = self.rows.get(n)
+                rows = [known[gram] for gram in grams_of(word, n) if gram in known] if known else None
+                if rows:
+                    places, numbers, flat = hits[n]
+                    places.append(place)
+                    numbers.append(len(rows))
+                    flat += rows
+                    break
+        for n, (places, numbers, flat) in hits.items():
+            if places:
+                begins = np.cumsum(numbers) - numbers
+                found[places] = (np.add.reduceat(self.scores[n][flat], begins, axis=0)
+                                 / np.asarray(numbers, dtype=np.float32)[:, None])
+        return found
+
+    def predict(self, texts: list[str]) -> list[tuple[str, float]]:
+        """Language and how sure it is, 0 to 1, of each text; ``und`` without letters or learned languages."""
+        split = [words_of(text) for text in texts]
+        if not self.languages:
+            return [(NONE, 0.0)] * len(texts)
         if len(self._known) > REMEMBERED_WORDS:
             self._known.clear()
-        total = np.zeros(len(self.languages))
-        for word, times in Counter(words).items():
-            score = self._known.get(word)
-            if score is None:
-                self._known[word] = score = self.word(word)
-            total += times * score
-        mean = total / len(words) * min(len(words), WORDS_OF_EVIDENCE)
-        odds = np.exp(mean - mean.max())
-        best = int(odds.argmax())
-        return self.languages[best], float(odds[best] / odds.sum())
-
-
-def learn(labelled: DataFrame, about: int = SAMPLE_PER_LANGUAGE, entries: int = ENTRIES) -> LanguageModel:
+            self._scores = self._scores[:0]
+        new = list(set().union(*split).difference(self._known))
+        self._known.update(zip(new, range(len(self._known), len(self._known) + len(new))))
+        self._scores = np.concatenate([self._scores, self.score_words(new)])
+        results = []
+        for words in split:
+            if not words:
+                results.append((NONE, 0.0))
+                continue
+            at = np.fromiter(map(self._known.__getitem__, words), dtype=np.int64, count=len(words))
+            mean = self._scores[at].mean(axis=0, dtype=np.float64) * min(len(words), WORDS_OF_EVIDENCE)
+            odds = np.exp(mean - mean.max())
+            best = int(odds.argmax())
+            results.append((self.languages[best], float(odds[best] / odds.sum())))
+        return results
+
+
+def learn(labelled: DataFrame, about: int = SAMPLE_PER_LANGUAGE, entries: int = ENTRIES,
+          scratch: Scratch | None = None) -> LanguageModel:
     """A model from ``doc_id``, ``text``, ``lang`` of a bounded sample of each language's documents.
 
     Rows with NULL in ``lang`` or ``text`` teach nothing. The driver gets at most ``entries`` words and
@@ -144,9 +169,10 @@ def learn(labelled: DataFrame, about: int = SAMPLE_PER_LANGUAGE, entries: int =
     """
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
     sample = sample_per_class(rows, "lang", about).select("lang", "text")
-    counted = (sample.mapInArrow(_counted, "lang string, n int, entry string, times long")
-               .groupBy("lang", "n", "entry").agg(F.sum("times").alias("times"))
-               .where(F.col("times") >= LEAST_COUNT))
+    scratch = scratch or Scratch(labelled.sparkSession, "language")
+    counted = scratch.table(sample.mapInArrow(_counted, "lang string, n int, entry string, times long")
+                            .groupBy("lang", "n", "entry").agg(F.sum("times").alias("times"))
+                            .where(F.col("times") >= LEAST_COUNT))
     # The count that an entry needs to be among the first: from a histogram, without sorting a language
     # in one task. Entries with equal counts stay or go together.
     sizes = counted.groupBy("lang", "n", "times").agg(F.count("*").alias("entries"))
@@ -172,8 +198,7 @@ def _predicted(model):
         learned = model.value
         for whole in batches:
             for batch in slices(whole, "text"):
-                found = [learned.predict(text) if text else (NONE, 0.0)
-                         for text in batch.column("text").to_pylist()]
+                found = learned.predict([text or "" for text in batch.column("text").to_pylist()])
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"),
                     "lang_pred": pa.array([f[0] for f in found], pa.string()),
