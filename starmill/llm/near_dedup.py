@@ -33,8 +33,6 @@ PERCENT = 85
 ROWS, BANDS = 6, 36
 REGISTERS = ROWS * BANDS
 BASE, RATE, TOP = 1.15, 20.0, 254
-# Six standard errors of the estimate below the threshold.
-LEAST_ESTIMATE = PERCENT / 100 - 6 * (PERCENT / 100 * (1 - PERCENT / 100) / REGISTERS) ** 0.5
 # Counters of the table of shingle frequencies; too few only make prefixes less rare.
 COUNTERS = 1 << 20
 COUNTER_SLICE = 1 << 17
@@ -106,6 +104,12 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     return steps[np.arange(len(steps)), fit.argmax(axis=1)]
 
 
+def least_estimate(percent: int = PERCENT) -> float:
+    """Six standard errors of the estimate below the threshold."""
+    wanted = percent / 100
+    return wanted - 6 * (wanted * (1 - wanted) / REGISTERS) ** 0.5
+
+
 def alike(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     """Whether two sorted sets reach the similarity."""
     both = len(np.intersect1d(a, b, assume_unique=True))
@@ -134,26 +138,30 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "set_key": pa.array(keys, pa.binary()), "registers": pa.array(sketches, pa.binary())})
 
 
-def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for at in range(0, whole.num_rows, 4096):
-            batch = whole.slice(at, 4096)
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, REGISTERS)
-                    for c in ("registers_a", "registers_b"))
-            n_a, n_b = (batch.column(c).to_numpy().astype(float) for c in ("n_a", "n_b"))
-            yield batch.select(["a", "b"]).filter(pa.array(estimate(a, b, n_a, n_b) >= LEAST_ESTIMATE))
+def _likely(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 4096):
+                batch = whole.slice(at, 4096)
+                a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, REGISTERS)
+                        for c in ("registers_a", "registers_b"))
+                n_a, n_b = (batch.column(c).to_numpy().astype(float) for c in ("n_a", "n_b"))
+                yield batch.select(["a", "b"]).filter(pa.array(estimate(a, b, n_a, n_b) >= least_estimate(percent)))
+    return run
 
 
-def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words = WordHashes()
-    for batch in batches:
-        linked, last, known = [], None, np.empty(0, dtype=np.uint64)
-        for text_a, text_b in zip(batch.column("text_a"), batch.column("text_b")):
-            a, b = text_a.as_buffer().to_pybytes(), text_b.as_buffer().to_pybytes()
-            if b != last:
-                last, known = b, shingles(b, words)
-            linked.append(alike(shingles(a, words), known))
-        yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+def _confirmed(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        for batch in batches:
+            linked, last, known = [], None, np.empty(0, dtype=np.uint64)
+            for text_a, text_b in zip(batch.column("text_a"), batch.column("text_b")):
+                a, b = text_a.as_buffer().to_pybytes(), text_b.as_buffer().to_pybytes()
+                if b != last:
+                    last, known = b, shingles(b, words)
+                linked.append(alike(shingles(a, words), known, percent))
+            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+    return run
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,12 +215,12 @@ def _pairs(rows: DataFrame, percent: int) -> DataFrame:
                  F.max(F.when(first, F.col("leader_n")).otherwise(F.col("n"))).alias("n_b")))
 
 
-def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose full sets are alike; ``texts`` has ``node`` and ``text``."""
     kind = dict(pairs.dtypes)["a"]
     with_a = pairs.select("a", "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     both = with_a.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(_confirmed, f"a {kind}, b {kind}").distinct()
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(_confirmed(percent), f"a {kind}, b {kind}").distinct()
 
 
 def _with_component(members: DataFrame, components: DataFrame) -> DataFrame:
@@ -244,7 +252,7 @@ def _settle(members: DataFrame, links: DataFrame, checked: DataFrame, texts: Dat
                            F.col("at.component").alias("leader_component")))
         met = placed.join(leaders, "key").where("component <> leader_component")
         pairs = scratch.table(_pairs(met, percent).join(checked, ["a", "b"], "left_anti"))
-        found = _links(pairs, texts)
+        found = _links(pairs, texts, percent)
         links = scratch.table(links.union(found))
         checked = scratch.table(checked.union(pairs.select("a", "b")))
         members = placed.join(leaders.select("key", F.col("leader").alias("node")), ["key", "node"], "left_anti") \
@@ -283,8 +291,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, scratch: Scratch |
     grouped = members.select("key", "node", "n")
     pairs = scratch.table(_pairs(members, percent))
     sides = [nodes.select(F.col("node").alias(s), F.col("registers").alias(f"registers_{s}")) for s in "ab"]
-    likely = scratch.table(pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(_likely, f"a {kind}, b {kind}"))
-    links = scratch.table(_links(likely, raw.where("text IS NOT NULL").withColumnRenamed("doc", "node")))
+    likely = scratch.table(pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(_likely(percent), f"a {kind}, b {kind}"))
+    links = scratch.table(_links(likely, raw.where("text IS NOT NULL").withColumnRenamed("doc", "node"), percent))
 
     placed = scratch.table(_with_component(grouped, connected_components(links, scratch)))
     unsettled = placed.join(_open_groups(placed), "key", "left_semi").select("node").distinct()
@@ -311,6 +319,16 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, scratch: Scratch |
         F.col("doc").eqNullSafe(F.col("component")).alias("kept"))
 
 
+def one_of_each(docs: DataFrame, percent: int = PERCENT, scratch: Scratch | None = None) -> DataFrame:
+    """The rows of ``docs``, all columns, without those that a near duplicate with a smaller ``doc_id`` stands for.
+
+    Rows with a NULL ``doc_id`` stay.
+    """
+    found = near_duplicates(docs.select("doc_id", "text"), percent, scratch)
+    gone = found.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 

@@ -29,15 +29,17 @@ GRAM_LENGTHS = (3, 4, 5, 6)
 VOCABULARY = 8_000
 LEAST_DOCUMENTS = 3
 # Training reads about so many labelled documents of each class, whole; chosen by a hash of doc_id.
-SAMPLE_PER_CLASS = 1_500
-EPOCHS, BATCH, RATE = 8, 128, 0.01
+SAMPLE_PER_CLASS = 1_000
+EPOCHS, BATCH, RATE = 7, 128, 0.01
 # Epochs before which the worst windows are looked up anew.
-LOOKUPS = (1, 2, 4, 6)
+LOOKUPS = (1, 2, 4)
 SEED = 11
 THRESHOLD = 0.7
 # Bytes of text whose windows are scored together, and windows that go through the network at once.
 TEXT_AT_A_TIME = 2 << 20
 WINDOWS_AT_A_TIME = 4096
+# Words whose vectors are put together at once.
+WORDS_AT_A_TIME = 8192
 
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -141,9 +143,13 @@ class Network:
         """Vectors of the words."""
         found = np.zeros((len(words.known), WORD_SIZE + GRAM_SIZE), dtype=np.float32)
         found[:, :WORD_SIZE] = self.p["word"][words.known]
+        for at in range(0, len(words.begins), WORDS_AT_A_TIME):
+            begins = words.begins[at:at + WORDS_AT_A_TIME]
+            end = words.begins[at + WORDS_AT_A_TIME] if at + WORDS_AT_A_TIME < len(words.begins) else len(words.grams)
+            found[at + 1:at + 1 + len(begins), WORD_SIZE:] = np.add.reduceat(
+                self.p["gram"][words.grams[begins[0]:end]], begins - begins[0], axis=0)
         if len(words.grams):
-            found[1:, WORD_SIZE:] = (np.add.reduceat(self.p["gram"][words.grams], words.begins, axis=0)
-                                     / words.counts[:, None])
+            found[1:, WORD_SIZE:] /= words.counts[:, None]
         return found
 
     def forward(self, rows: np.ndarray, vectors: np.ndarray, keep: list | None = None) -> np.ndarray:
@@ -246,13 +252,29 @@ def _pairs(member: np.ndarray, feature: np.ndarray) -> tuple[np.ndarray, np.ndar
     return found // size, found % size
 
 
+def _rated(hits: np.ndarray, misses: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Smoothed log odds of features in so many toxic and clean documents; 0 for those in one only."""
+    rate = (hits + 1) / (toxic.sum() + 2) / ((misses + 1) / ((~toxic).sum() + 2))
+    return (np.log(rate) * (hits + misses > 1)).astype(np.float32)
+
+
 def _log_odds(member: np.ndarray, feature: np.ndarray, toxic: np.ndarray, size: int) -> np.ndarray:
-    """Smoothed log odds of features from the (document, feature) pairs in which they occur."""
+    """Log odds of features from the (document, feature) pairs in which they occur."""
     member, feature = _pairs(member, feature)
     bad = toxic[member]
-    hits, misses = np.bincount(feature[bad], minlength=size), np.bincount(feature[~bad], minlength=size)
-    rate = (hits + 1) / (toxic.sum() + 2) / ((misses + 1) / ((~toxic).sum() + 2))
-    return (np.log(rate) * (hits + misses > 1)).astype(np.float32)
+    return _rated(np.bincount(feature[bad], minlength=size), np.bincount(feature[~bad], minlength=size), toxic)
+
+
+def _gram_log_odds(words: Words, member: np.ndarray, word: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Log odds of n-grams from the (document, word) pairs, document by document."""
+    hits = np.zeros((2, GRAM_BUCKETS), dtype=np.int64)
+    ends = words.begins + words.counts
+    for part in np.split(np.arange(len(member)), np.flatnonzero(np.diff(member)) + 1):
+        if len(part):
+            own = word[part] - 1
+            found = [words.grams[b:e] for b, e in zip(words.begins[own], ends[own])]
+            hits[int(toxic[member[part[0]]]), np.unique(np.concatenate(found))] += 1
+    return _rated(hits[1], hits[0], toxic)
 
 
 def train(texts: Sequence[str], labels: Sequence[int], seed: int = SEED) -> Network:
@@ -277,10 +299,7 @@ def train(texts: Sequence[str], labels: Sequence[int], seed: int = SEED) -> Netw
     # The first component of each vector starts as the log odds of what it stands for.
     known = words.known[word]
     network.p["word"][:, 0] = 0.5 * _log_odds(member[known > 0], known[known > 0], toxic, len(vocabulary) + 1)
-    counts = words.counts[different - 1]
-    at = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    grams = words.grams[np.repeat(words.begins[different - 1], counts) + at]
-    network.p["gram"][:, 0] = _log_odds(np.repeat(in_document, counts), grams, toxic, GRAM_BUCKETS)
+    network.p["gram"][:, 0] = _gram_log_odds(words, in_document, different, toxic)
 
     random = np.random.default_rng(seed)
     mean = {n: np.zeros_like(p) for n, p in network.p.items()}
@@ -299,7 +318,7 @@ def train(texts: Sequence[str], labels: Sequence[int], seed: int = SEED) -> Netw
         top = np.flatnonzero(score >= np.repeat(best, np.diff(np.r_[starts, len(rows)])))
         worst = top[np.unique(owners[top], return_index=True)[1]]
         clean = np.flatnonzero(~toxic[owners])
-        others = random.choice(clean, size=min(len(clean), 2 * len(worst)), replace=False)
+        others = random.choice(clean, size=min(len(clean), 4 * len(worst)), replace=False)
         chosen = random.permutation(np.concatenate([worst, others]))
         for begin in range(0, len(chosen), BATCH):
             batch = chosen[begin:begin + BATCH]
@@ -358,6 +377,19 @@ def score_toxicity(docs: DataFrame, network: Network, held_out=None, threshold:
         _scored(model, threshold), f"doc_id {kind}, held_out boolean, score double, predicted int")
 
 
+def without_toxic(docs: DataFrame, network: Network, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, that score below ``threshold``; see ``score_toxicity``."""
+    model = docs.sparkSession.sparkContext.broadcast(network)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text", TEXT_AT_A_TIME):
+                scores = model.value.scores([t or "" for t in batch.column("text").to_pylist()])
+                yield batch.filter(pa.array(scores < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 # One fold in three is not learned from.
 FOLDS, HELD_OUT = 3, 1
 
