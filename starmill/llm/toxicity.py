@@ -29,10 +29,10 @@ GRAM_LENGTHS = (3, 4, 5, 6)
 VOCABULARY = 8_000
 LEAST_DOCUMENTS = 3
 # Training reads about so many labelled documents of each class, whole; chosen by a hash of doc_id.
-SAMPLE_PER_CLASS = 1_000
-EPOCHS, BATCH, RATE = 7, 128, 0.01
+SAMPLE_PER_CLASS = 800
+EPOCHS, BATCH, RATE = 6, 256, 0.015
 # Epochs before which the worst windows are looked up anew.
-LOOKUPS = (1, 2, 4)
+LOOKUPS = (1, 3)
 SEED = 11
 THRESHOLD = 0.7
 # Bytes of text whose windows are scored together, and windows that go through the network at once.
@@ -318,7 +318,7 @@ def train(texts: Sequence[str], labels: Sequence[int], seed: int = SEED) -> Netw
         top = np.flatnonzero(score >= np.repeat(best, np.diff(np.r_[starts, len(rows)])))
         worst = top[np.unique(owners[top], return_index=True)[1]]
         clean = np.flatnonzero(~toxic[owners])
-        others = random.choice(clean, size=min(len(clean), 4 * len(worst)), replace=False)
+        others = random.choice(clean, size=min(len(clean), 3 * len(worst)), replace=False)
         chosen = random.permutation(np.concatenate([worst, others]))
         for begin in range(0, len(chosen), BATCH):
             batch = chosen[begin:begin + BATCH]
