@@ -10,7 +10,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from starmill.operators.merge import fits_broadcast
 from starmill.operators.slices import (
     HOT_ROWS, SLICE_MINUTES, across_slices, find_hot_keys, hand_over, split_hot)
 from starmill.sources.shared import Scratch
@@ -28,7 +27,7 @@ def _observed(feed: DataFrame, group: Sequence[str], ts: str, tie: Sequence[str]
             .where(F.col("_next_ts").isNull() | (F.col("_next_ts") != F.col(ts)))
             .withColumn("_state", F.struct(*attributes))
             .withColumn("_before", F.lag("_state").over(Window.partitionBy(*group).orderBy(ts)))
-            .drop("_next_ts", *tie))
+            .drop("_next_ts", *[t for t in tie if t not in attributes]))
 
 
 def _changes(rows: DataFrame, before: Column, group: Sequence[str], ts: str) -> DataFrame:
@@ -53,12 +52,13 @@ def scd2_history(feed: DataFrame, keys: Sequence[str], ts: str, attributes: Sequ
     """Versions of each key from a feed of observed states.
 
     Runs of equal states form one version. Of several rows of a key at the same instant the last
-    by ``tie`` counts, so no version is empty. Result: keys, attributes, ``valid_from``,
-    ``valid_to``, ``is_current``, ``version``. One shuffle by key covers all windows.
+    by ``tie`` counts, so no version is empty. Rows without a time have no place in a history and are
+    left out. Rows whose key is NULL have a history of their own. Result: keys, attributes,
+    ``valid_from``, ``valid_to``, ``is_current``, ``version``. One shuffle by key covers all windows.
     """
-    keys, attributes, tie = list(keys), list(attributes), [t for t in tie if t not in attributes]
+    keys, attributes, tie = list(keys), list(attributes), list(tie)
     scratch = scratch or Scratch(feed.sparkSession, "history")
-    feed = feed.select(*dict.fromkeys([*keys, ts, *tie, *attributes]))
+    feed = feed.select(*dict.fromkeys([*keys, ts, *tie, *attributes])).where(F.col(ts).isNotNull())
     hot = find_hot_keys(feed, keys, hot_rows, scratch)
     ordinary, busy = (feed, None) if hot is None else split_hot(feed, keys, ts, hot, slice_minutes)
 
@@ -96,10 +96,16 @@ def scd2_incremental(history: DataFrame, delta: DataFrame, keys: Sequence[str],
     until the next recorded change.
     """
     keys, attributes = list(keys), list(attributes)
-    touched = delta.groupBy(*keys).agg(F.min(ts).alias("_since"))
-    if fits_broadcast(touched):
-        touched = F.broadcast(touched)  # the usual small delta: the history is not shuffled
-    marked = history.join(touched, keys, "left")
+
+    def joined(rows: DataFrame, per_key: DataFrame) -> DataFrame:
+        """Left join on the keys; a NULL key matches a NULL key."""
+        per_key = per_key.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+        same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+        return rows.join(per_key, same, "left").drop(*[f"_of_{k}" for k in keys])
+
+    delta = delta.where(F.col(ts).isNotNull())
+    # A small delta is broadcast by the planner, and the history is not shuffled.
+    marked = joined(history, delta.groupBy(*keys).agg(F.min(ts).alias("_since")))
     untouched = F.col("_since").isNull() | F.coalesce(F.col("valid_to") < F.col("_since"), F.lit(False))
     kept = marked.where(untouched).select(*history.columns)
     scratch = scratch or Scratch(history.sparkSession, "history")
@@ -112,7 +118,7 @@ def scd2_incremental(history: DataFrame, delta: DataFrame, keys: Sequence[str],
                               if t not in attributes])
     rebuilt = scd2_history(known.unionByName(delta.select(*known.columns)), keys, ts, attributes,
                            tie, hot_rows, slice_minutes, scratch)
-    renumbered = rebuilt.join(base, keys, "left").withColumn(
+    renumbered = joined(rebuilt, base).withColumn(
         "version", F.col("version") + F.coalesce("_base", F.lit(0)))
     return kept.unionByName(renumbered.select(*history.columns))
 

@@ -44,10 +44,13 @@ def last_watermark(log: DataFrame, process: str) -> datetime:
 
 def next_watermark(staged: DataFrame, ts: str, last: datetime,
                    batch_id: str | None = None) -> DataFrame:
-    """One row: the newest time staged by this batch, or ``last`` when it is empty, and its rows."""
+    """One row: the newest time staged by this batch, never before ``last``, and its rows.
+
+    A batch that re-reads a span before the watermark may hold nothing newer than it.
+    """
     if batch_id is not None:
         staged = staged.where(F.col("batch_id") == batch_id)
-    return staged.agg(F.coalesce(F.max(ts), time_literal(last)).alias("watermark"),
+    return staged.agg(F.greatest(F.max(ts), time_literal(last)).alias("watermark"),
                       F.count("*").alias("rows"))
 
 

@@ -61,5 +61,7 @@ def rank_all(df: DataFrame, by: str, name: str, tie: Sequence[str],
     The rank of a value is the smallest row number among the rows that share it.
     """
     numbered = assign_keys(df, [F.col(by).desc(), *tie], "_n", scratch=scratch)
-    ranks = numbered.groupBy(by).agg(F.min("_n").alias(name))
-    return numbered.drop("_n").join(ranks, by).select(*df.columns, name)
+    # NULL values rank last, like any other value.
+    ranks = numbered.groupBy(F.col(by).alias("_value")).agg(F.min("_n").alias(name))
+    return (numbered.drop("_n").join(ranks, F.col(by).eqNullSafe(F.col("_value")))
+            .select(*df.columns, name))

@@ -37,11 +37,6 @@ def count_unambiguous(source: DataFrame, keys: Sequence[str]) -> int:
     return total[0]
 
 
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; reads no more than one row past the limit."""
-    return df.limit(rows + 1).count() <= rows
-
-
 @dataclass(frozen=True)
 class Merge:
     """Outcome of a merge.
@@ -58,26 +53,26 @@ class Merge:
 def scd1_merge(target: DataFrame, source: DataFrame, keys: Sequence[str] | Mapping[str, str],
                attributes: Sequence[str] | Mapping[str, str], *, stamps: Mapping[str, object],
                null_safe: bool = True, collation: str | None = None,
-               newer_by: str | None = None, broadcast_source: bool | None = None) -> Merge:
+               newer_by: str | Sequence[str] = (), broadcast_source: bool | None = None) -> Merge:
     """Match ``source`` to ``target`` on ``keys`` and decide an ``action`` for each row.
 
     ``keys`` and ``attributes`` map target columns to source columns. A matched row is an
     ``update`` when an attribute changed and a ``keep`` otherwise; an unmatched source row is an
     ``insert``; target rows without a source row are kept. ``stamps`` (load time, user) are
-    written on updates and inserts. With ``newer_by`` an update also needs a greater value in
-    that column, which makes batches safe to repeat and to reorder. Other target columns, the
-    surrogate key among them, are NULL on inserts. Strings are compared byte by byte unless a
+    written on updates and inserts. With ``newer_by`` an update also needs greater values in
+    these columns, compared one after the other, which makes batches safe to repeat and to reorder.
+    Other target columns, the surrogate key among them, are NULL on inserts. Strings are compared byte by byte unless a
     ``collation`` is named, such as ``UTF8_LCASE_RTRIM`` to ignore case and trailing blanks.
 
     ``broadcast_source`` picks the join: a small batch is broadcast and the target is never
-    shuffled; otherwise one full outer join on the key shuffles each side once. ``None`` counts
-    the source to decide.
+    shuffled (True); one full outer join on the key shuffles each side once (False). ``None`` takes
+    the joins of the first way and leaves it to the planner, which knows sizes, whether to broadcast.
     """
     keys, attributes = _mapping(keys), _mapping(attributes)
-    if newer_by is not None:
-        attributes.setdefault(newer_by, newer_by)
-    if broadcast_source is None:
-        broadcast_source = fits_broadcast(source)
+    newer_by = [newer_by] if isinstance(newer_by, str) else list(newer_by)
+    for column in newer_by:
+        attributes.setdefault(column, column)
+    small = F.broadcast if broadcast_source else (lambda frame: frame)
 
     # Written as SQL text: a merge has several expressions per column, and text reaches the JVM
     # in one call.
@@ -94,9 +89,10 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: Sequence[str] | Mappi
         return [f"`{c}` COLLATE {collation}" if collated else f"`{c}`" for c in (name, f"_new_{name}")]
 
     changed = " OR ".join(compare.format(*operands(t)) for t in attributes)
-    if newer_by is not None:
-        changed = (f"({changed}) AND coalesce(`{newer_by}` IS NULL"
-                   f" OR `_new_{newer_by}` > `{newer_by}`, false)")
+    if newer_by:
+        stored, offered = (", ".join(f"`{prefix}{c}`" for c in newer_by) for prefix in ("", "_new_"))
+        changed = (f"({changed}) AND coalesce(`{newer_by[0]}` IS NULL"
+                   f" OR struct({offered}) > struct({stored}), false)")
 
     def settle(frame: DataFrame) -> DataFrame:
         decided = frame.selectExpr(
@@ -114,18 +110,18 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: Sequence[str] | Mappi
             columns.append(f"CAST({value} AS {field.dataType.simpleString()}) AS {name}")
         return decided.selectExpr(*columns, "action")
 
-    if not broadcast_source:
+    if broadcast_source is False:
         both = current.join(incoming, same_key, "full_outer")
         return Merge(
             table=settle(both),
             existing=settle(both.where("_in_target IS NOT NULL")),
             new=settle(both.where("_in_target IS NULL AND _in_source IS NOT NULL")))
 
-    batch = F.broadcast(incoming)
+    batch = small(incoming)
     existing = settle(current.join(batch, same_key, "left"))
     # Keys found in the target are at most the keys of the batch, so they are small as well.
     found = current.select(*keys).join(batch, same_key, "left_semi")
-    unmatched = incoming.join(F.broadcast(found), same_key, "left_anti").selectExpr(
+    unmatched = incoming.join(small(found), same_key, "left_anti").selectExpr(
         "*", *[f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in current.schema.fields])
     new = settle(unmatched)
     return Merge(table=existing.unionByName(new), existing=existing, new=new)

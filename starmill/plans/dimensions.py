@@ -26,16 +26,16 @@ class Dimension:
     attributes: Mapping[str, str]
     defaults: Mapping[str, str] = field(default_factory=dict)
 
-    def source(self, staged: DataFrame) -> DataFrame:
-        """Distinct staged members, missing labels filled in."""
-        return staged.select(self.staged_id, *[self._value(c).alias(c) for c in self.attributes.values()]
-                             ).distinct()
+    def source(self, staged: DataFrame, *also: str) -> DataFrame:
+        """Distinct staged members, missing labels filled in; with the columns ``also``."""
+        return staged.select(self.staged_id, *[self._value(c).alias(c) for c in self.attributes.values()],
+                             *also).distinct()
 
-    def observations(self, staged: DataFrame) -> DataFrame:
+    def observations(self, staged: DataFrame, *also: str) -> DataFrame:
         """Staged members under the dimension's column names, with their modification time."""
         return staged.select(F.col(self.staged_id).alias(self.business_id),
                              *[self._value(s).alias(t) for t, s in self.attributes.items()],
-                             "modified_date")
+                             "modified_date", *also)
 
     def _value(self, column: str) -> Column:
         return default_to(column, self.defaults[column]) if column in self.defaults else F.col(column)

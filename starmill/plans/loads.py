@@ -10,22 +10,23 @@ import uuid
 from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 from datetime import date, datetime, timedelta, timezone
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starmill.functions import labels
 from starmill.functions.calendar import calendar
 from starmill.functions.scalars import time_literal
-from starmill.operators.incremental import latest_batch, next_watermark, tag_batch
+from starmill.operators.incremental import next_watermark, tag_batch
 from starmill.operators.history import scd2_history, scd2_incremental
 from starmill.operators.keys import with_unknown_member
+from starmill.operators.lookup import one_per_key
 from starmill.operators.merge import BROADCAST_ROWS, count_unambiguous
 from starmill.plans.audit import RunLog
 from starmill.plans.dimensions import DIMENSIONS, UNKNOWN_SALESPERSON, merge_dimension
 from starmill.plans.extracts import EXTRACTS, Sources
 from starmill.plans.facts import LOOKUPS, load_fact
-from starmill.schemas import STAGING, WAREHOUSE
+from starmill.schemas import MERGED, STAGING, WAREHOUSE
 from starmill.sources.shared import Scratch
 from starmill.sources.store import Store
 from starmill.sources.tables import OpenOnUse
@@ -89,19 +90,53 @@ class Warehouse:
     def staged(self, entity: str) -> DataFrame:
         return self.store.read(f"stg/{entity}", STAGING[entity])
 
+    def _merged(self, table: str) -> int:
+        """The staging version that ``table`` has last taken in."""
+        notes = self.store.read(f"etl/merged/{table}", MERGED)
+        return notes.agg(F.max("version")).first()[0] or 0
+
+    def _pending(self, entity: str, table: str) -> tuple[DataFrame, int]:
+        """Staged rows that ``table`` has not taken in yet, with their ``_version``, and the newest of these.
+
+        A batch stays pending until a load has written its result, however many are staged meanwhile.
+        """
+        merged, staging = self._merged(table), f"stg/{entity}"
+        newer = [v for v in self.store.versions(staging) if v > merged]
+        batches = [self.store.read(staging, STAGING[entity], version=v).withColumn("_version", F.lit(v))
+                   for v in newer]
+        nothing = self.spark.createDataFrame([], STAGING[entity]).withColumn("_version", F.lit(merged))
+        return reduce(DataFrame.unionByName, batches, nothing), max(newer, default=merged)
+
+    def _note_merged(self, entity: str, table: str, version: int) -> None:
+        """Taken in up to ``version``; staging versions that every table has taken in are dropped."""
+        notes = f"etl/merged/{table}"
+        self.store.write(notes, self.spark.range(version, version + 1, numPartitions=1).toDF("version"))
+        self.store.prune(notes, keep=1)
+        self.store.prune(table)
+        readers = [f"dw/{n}{end}" for n, d in DIMENSIONS.items() if d.staging == entity
+                   for end in ("", "_history")]
+        taken = [self._merged(t) for t in readers if self.store.exists(t)]
+        self.store.prune(f"stg/{entity}", keep=1, up_to=min(taken, default=0))
+
     # -- dimensions ------------------------------------------------------------------------
 
     def load_calendar(self, start: date = date(2000, 1, 1), end: date = date(2030, 12, 31)) -> None:
         self.store.write("dw/dim_date", calendar(self.spark, start, end).coalesce(1))
 
     def load_dimension(self, name: str, null_safe: bool = True, collation: str | None = None) -> None:
-        """Merge the staged batch into the dimension and write its next snapshot."""
+        """Merge the batches staged since the last merge into the dimension and write its next snapshot.
+
+        Of a member staged by several batches the last one counts.
+        """
         dim, schema, table = DIMENSIONS[name], WAREHOUSE[name], f"dw/{name}"
         with self._run(dim.process) as run, Scratch(self.spark, name) as scratch:
-            source = dim.source(latest_batch(self.staged(dim.staging)))
-            members = count_unambiguous(source, [dim.staged_id])
+            pending, version = self._pending(dim.staging, table)
+            staged = dim.source(pending, "_version")
+            members = count_unambiguous(staged, [dim.staged_id, "_version"])
             if members == 0 and self.store.exists(table):
+                self._note_merged(dim.staging, table, version)
                 return
+            source = one_per_key(staged, [dim.staged_id], ["_version"]).drop("_version")
             target, now = self.store.read(table, schema), self.clock()
             merged = merge_dimension(
                 dim, target, source, {"loaded_at": now, "load_user": self.user}, scratch,
@@ -110,25 +145,32 @@ class Warehouse:
             # Inserted and updated rows are the ones that carry this run's time.
             run.rows = self.store.read(table, schema).where(
                 F.col("loaded_at") == time_literal(now)).count()
+            self._note_merged(dim.staging, table, version)
 
     def load_history(self, name: str) -> None:
-        """Add the staged batch to the type 2 history of a dimension.
+        """Add the batches staged since the last time to the type 2 history of a dimension.
 
         A member's attributes are taken to hold from its modification time on. The history is
         kept beside the type 1 dimension, under its name with ``_history`` added.
         """
         dim, table = DIMENSIONS[name], f"dw/{name}_history"
         with self._run(f"{dim.process}_HISTORY") as run, Scratch(self.spark, name) as scratch:
-            observed = dim.observations(latest_batch(self.staged(dim.staging)))
+            pending, version = self._pending(dim.staging, table)
+            if count_unambiguous(dim.source(pending, "_version"), [dim.staged_id, "_version"]) == 0 and self.store.exists(table):
+                self._note_merged(dim.staging, table, version)
+                return
+            # Two batches may hold two states of one time; the later batch tells.
+            observed = scratch.table(dim.observations(pending, "_version"))
             history = self.store.read(table) if self.store.exists(table) else None
-            options = dict(keys=[dim.business_id], ts="modified_date",
-                           attributes=list(dim.attributes), scratch=scratch)
+            options = dict(keys=[dim.business_id], ts="modified_date", attributes=list(dim.attributes),
+                           tie=["_version"], scratch=scratch)
             if history is None:
                 versions = scd2_history(observed, **options)
             else:
                 versions = scd2_incremental(history, observed, **options)
             self.store.write(table, versions)
             run.rows = observed.count()
+            self._note_merged(dim.staging, table, version)
 
     def history(self, name: str) -> DataFrame:
         return self.store.read(f"dw/{name}_history")

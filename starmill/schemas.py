@@ -61,6 +61,9 @@ WAREHOUSE = {
         line_total=DecimalType(12, 2), order_year=_INT),
 }
 
+# The staging version that a table has taken in last.
+MERGED = _schema(version=_LONG)
+
 RUN_LOG = _schema(
     process=_TEXT, batch_id=_TEXT, state=_TEXT, started_at=_TIME, ended_at=_TIME,
     watermark=_TIME, rows_affected=_LONG, message=_TEXT)

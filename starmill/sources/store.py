@@ -17,6 +17,9 @@ from pyspark.sql.types import StructType
 
 from starmill.sources.shared import delete_path, filesystem
 
+# Folders of parts; no table may have a column of this name.
+PART = "stored_part"
+
 
 class Store:
     def __init__(self, spark: SparkSession, root: str):
@@ -32,7 +35,7 @@ class Store:
         return sorted(int(v) for v in self._committed(table, "v"))
 
     def parts(self, table: str) -> list[str]:
-        return self._committed(table, "part")
+        return self._committed(table, PART)
 
     def exists(self, table: str) -> bool:
         return bool(self.versions(table) or self.parts(table))
@@ -47,7 +50,7 @@ class Store:
 
     def append(self, table: str, df: DataFrame, part: str,
                partition_by: Sequence[str] = ()) -> None:
-        self._save(df, f"{self.root}/{table}/part={part}", partition_by)
+        self._save(df, f"{self.root}/{table}/{PART}={part}", partition_by)
 
     def _save(self, df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
         writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
@@ -56,29 +59,31 @@ class Store:
         writer.parquet(path)
 
     def read(self, table: str, schema: StructType | None = None,
-             before: int | None = None) -> DataFrame:
+             before: int | None = None, version: int | None = None) -> DataFrame:
         """Current version (or the newest older than ``before``), or all parts of a growing table.
 
-        With a ``schema`` a table that does not exist yet reads as empty.
+        ``version`` names one. With a ``schema`` a table that does not exist yet reads as empty.
         """
-        versions = [v for v in self.versions(table) if before is None or v < before]
+        versions = [v for v in self.versions(table)
+                    if (before is None or v < before) and version in (None, v)]
         if versions:
             paths = [f"{self.root}/{table}/v={versions[-1]}"]
         else:
-            paths = [f"{self.root}/{table}/part={p}" for p in self.parts(table)]
+            paths = [f"{self.root}/{table}/{PART}={p}" for p in self.parts(table)]
         if not paths:
             if schema is None:
                 raise FileNotFoundError(f"no committed version of {table}")
             return self.spark.createDataFrame([], schema)
-        reader = self.spark.read.option("basePath", f"{self.root}/{table}")
-        if schema is not None:
-            reader = reader.schema(schema)
-        return reader.parquet(*paths).drop("v", "part")
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        if versions:  # the path is its own root, so the folder's name is no column
+            return reader.parquet(*paths)
+        return reader.option("basePath", f"{self.root}/{table}").parquet(*paths).drop(PART)
 
     def read_part(self, table: str, part: str, schema: StructType) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{table}/part={part}")
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{table}/{PART}={part}")
 
-    def prune(self, table: str, keep: int = 2) -> None:
-        """Drop all but the newest ``keep`` versions."""
+    def prune(self, table: str, keep: int = 2, up_to: int | None = None) -> None:
+        """Drop all but the newest ``keep`` versions; with ``up_to`` none newer than that."""
         for version in self.versions(table)[:-keep]:
-            delete_path(self.spark, f"{self.root}/{table}/v={version}")
+            if up_to is None or version <= up_to:
+                delete_path(self.spark, f"{self.root}/{table}/v={version}")

@@ -2,35 +2,54 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from starmill.operators.lookup import one_per_key
 from starmill.operators.merge import scd1_merge
 from starmill.sources.store import Store
 
+NOTE = StructType([StructField("version", LongType())])
+KEPT_VERSIONS = 3
+
+
+def version_of(store: Store, table: str, stream: str, batch_id: int) -> int:
+    """The table version that a batch of a stream writes; a batch delivered again keeps its version.
+
+    It is noted before the batch is written. Numbers go on from the versions there are, whichever stream
+    wrote them, so a stream with a new checkpoint does not write over them.
+    """
+    notes, part = f"{table}/batches", f"{stream}-{batch_id}"
+    if part in store.parts(notes):
+        return store.read_part(notes, part, NOTE).first()["version"]
+    version = max(store.versions(table), default=0) + 1
+    store.append(notes, store.spark.range(version, version + 1, numPartitions=1).toDF("version"), part)
+    return version
+
 
 def merge_batch(store: Store, table: str, schema: StructType, batch: DataFrame, batch_id: int,
-                keys: Sequence[str], attributes: Sequence[str], newest_by: Sequence[str]) -> None:
+                keys: Sequence[str], attributes: Sequence[str], newest_by: Sequence[str],
+                stream: str = "stream") -> None:
     """Merge one micro-batch and write the result as the version of that batch.
 
-    Batches may be delivered twice and files may arrive out of order. The version number is the
-    batch number and the merge starts from the version before it, so a repeated batch writes the
-    same version again; only rows newer than the stored one change it.
+    Batches may be delivered twice and files may arrive out of order. The merge starts from the version
+    before the batch's own, so a repeated batch writes the same version again; only rows newer by all of
+    ``newest_by`` than the stored one change it. Older versions are dropped but for a few.
     """
-    version = batch_id + 1
+    version = version_of(store, table, stream, batch_id)
     newest = one_per_key(batch.select(*dict.fromkeys([*keys, *newest_by, *attributes])), keys, newest_by)
     newest.persist()  # read twice, to be counted and to be merged; lost blocks come from the files
     try:
         target = store.read(table, schema, before=version)
-        newer_by, *rest = newest_by
-        merge = scd1_merge(target, newest, keys, [*attributes, *rest], stamps={}, newer_by=newer_by)
+        merge = scd1_merge(target, newest, keys, attributes, stamps={}, newer_by=newest_by)
         store.write(table, merge.table.drop("action"), version=version)
     finally:
         newest.unpersist()
+    store.prune(table, keep=KEPT_VERSIONS)
 
 
 def start_merge_stream(spark: SparkSession, source: str, source_schema: StructType, store: Store,
@@ -39,13 +58,14 @@ def start_merge_stream(spark: SparkSession, source: str, source_schema: StructTy
                        files_per_batch: int = 1000) -> StreamingQuery:
     """Process every file that is in ``source`` and not yet recorded in ``checkpoint``, then stop."""
     columns = [*keys, *attributes, *newest_by]
+    name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
     schema = StructType([source_schema[c] for c in dict.fromkeys(columns)])
     stream = (spark.readStream.schema(source_schema)
               .option("maxFilesPerTrigger", files_per_batch).option("recursiveFileLookup", True)
               .parquet(source))
     return (stream.writeStream
             .foreachBatch(lambda batch, batch_id: merge_batch(
-                store, table, schema, batch, batch_id, keys, attributes, newest_by))
+                store, table, schema, batch, batch_id, keys, attributes, newest_by, name))
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start())

@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 
 from starmill.operators.merge import (
-    AmbiguousSource, action_counts, ambiguous_keys, change_flags, count_unambiguous, fits_broadcast,
+    AmbiguousSource, action_counts, ambiguous_keys, change_flags, count_unambiguous,
     scd1_merge)
 
 OLD, NOW = datetime(2024, 1, 1), datetime(2024, 2, 1)
@@ -102,11 +102,6 @@ def test_ambiguous_source_is_refused(spark, rows):
     assert count_unambiguous(source.where("id = 7"), ["id"]) == 0
 
 
-def test_size_check(spark):
-    assert fits_broadcast(spark.range(10), rows=10)
-    assert not fits_broadcast(spark.range(11), rows=10)
-
-
 def test_small_batch_leaves_the_target_unshuffled(spark, target, source):
     auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
