@@ -135,3 +135,20 @@ def test_a_sale_at_a_change_gets_the_new_version_and_gaps_get_none(spark, rows):
         found = point_in_time(facts, versions, ["k"], "ts", ["state"], hot_rows=hot_rows, slice_minutes=5)
         assert rows(found) == [(1, at(-1), None), (1, at(0), "a"), (1, at(10), "b"), (1, at(25), None),
                                (1, at(30), "c"), (2, at(0), None)]
+
+
+@pytest.mark.parametrize("hot_rows", [None, 1])
+def test_rows_without_time_are_left_out_and_null_keys_have_a_history(spark, rows, hot_rows):
+    data = [(None, at(0), 1, "a"), (None, at(1), 2, "b"), (1, None, 3, "x"), (1, None, 4, "y"), (1, at(0), 5, "a")]
+    expected = [(1, "a", at(0), None, True, 1), (None, "a", at(0), at(1), False, 1), (None, "b", at(1), None, True, 2)]
+    by_key = lambda found: sorted(found, key=lambda r: (r[0] is None, r[2]))
+    assert by_key(rows(history_of(spark, data, hot_rows=hot_rows))) == expected
+    base = history_of(spark, data[:1], hot_rows=hot_rows)
+    found = scd2_incremental(base, feed(spark, data[1:]), ["k"], "ts", ["state"], tie=["seq"], hot_rows=hot_rows)
+    assert by_key(rows(found)) == expected
+
+
+def test_tie_may_be_an_attribute(spark, rows):
+    data = [(1, at(0), 2, "a"), (1, at(0), 9, "b"), (1, at(0), 5, "c")]
+    found = scd2_history(feed(spark, data), ["k"], "ts", ["state", "seq"], tie=["seq"])
+    assert rows(found, "state", "seq") == [("b", 9)]

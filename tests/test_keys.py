@@ -48,3 +48,8 @@ def test_rank_with_ties(spark, rows):
     df = spark.createDataFrame([("a", 5), ("b", 9), ("c", 5), ("d", 1), ("e", 9)], "id string, v int")
     assert rows(rank_all(df, "v", "r", ["id"])) == [
         ("a", 5, 3), ("b", 9, 1), ("c", 5, 3), ("d", 1, 5), ("e", 9, 1)]
+
+
+def test_rank_keeps_null_values(spark, rows):
+    df = spark.createDataFrame([(1, 5), (2, None), (3, None), (4, 7)], "id int, v int")
+    assert rows(rank_all(df, "v", "r", ["id"])) == [(1, 5, 2), (2, None, 3), (3, None, 3), (4, 7, 1)]

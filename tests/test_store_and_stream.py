@@ -129,3 +129,16 @@ def test_repeated_batch_writes_the_same_version(spark, store, rows):
     merge_batch(store, "seen", SCHEMA, spark.createDataFrame(second, SCHEMA), 2, ["user_id"],
                 ["event_type"], NEWEST)
     assert rows(store.read("seen")) == once
+
+
+def test_columns_may_be_called_like_version_folders(spark, store, rows):
+    store.write("t", spark.createDataFrame([(1, 2, 3)], "k int, v int, part int"))
+    assert store.read("t").columns == ["k", "v", "part"]
+
+
+def test_new_stream_goes_on_from_the_table(spark, store, rows):
+    for stream, data in [("a", events(40, 1)), ("b", events(40, 2))]:
+        merge_batch(store, "seen", SCHEMA, spark.createDataFrame(data, SCHEMA), 0, ["user_id"],
+                    ["event_type"], NEWEST, stream)
+    assert store.versions("seen") == [1, 2]
+    assert {r[0] for r in rows(store.read("seen"))} == {e[0] for s in (1, 2) for e in events(40, s)}
