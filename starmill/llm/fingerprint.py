@@ -41,8 +41,8 @@ def shingle_hashes(words: Column) -> Column:
 
 def held(hashes: Column, scale: int = SCALE) -> Column:
     """The sketch: sorted different hashes below one ``scale``-th of the range."""
-    bound = F.lit(LOWEST + (1 << 64) // scale)
-    return F.array_sort(F.array_distinct(F.filter(hashes, lambda h: h < bound)))
+    last = F.lit(LOWEST + (1 << 64) // scale - 1)
+    return F.array_sort(F.array_distinct(F.filter(hashes, lambda h: h <= last)))
 
 
 def merged(a: Column, b: Column) -> Column:
