@@ -10,7 +10,8 @@ Members of a band are compared with one of them, not with each other. Where that
 components, its documents are compared again by an exact method: by prefix filtering, two sets of the
 wanted similarity share one of their rarest shingles. Groups of documents that share a rare shingle are
 compared with one, then two, then four of their members and so on, until all members have had their turn
-or are in one component.
+or are in one component. Those with the fewest rarer shingles come first, as they have most in common with
+the others; a shared shingle with too many rarer ones on either side cannot link a pair.
 """
 
 from __future__ import annotations
@@ -34,8 +35,8 @@ ROWS, BANDS = 6, 36
 REGISTERS = ROWS * BANDS
 BASE, RATE, TOP = 1.15, 20.0, 254
 # Counters of the table of shingle frequencies; too few only make prefixes less rare.
-COUNTERS = 1 << 20
-COUNTER_SLICE = 1 << 17
+COUNTERS = 1 << 21
+COUNTER_SLICE = 1 << 18
 REMEMBERED_WORDS = 400_000
 
 _random = np.random.default_rng(20240601)
@@ -188,7 +189,7 @@ def _prefixes(frequencies, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, often = WordHashes(), frequencies.value
         for batch in batches:
-            nodes, sizes, keys = [], [], []
+            nodes, sizes, keys, places = [], [], [], []
             for node, text in zip(batch.column("node"), batch.column("text")):
                 found = shingles(text.as_buffer().to_pybytes(), words)
                 order = np.lexsort((found, often[(found % np.uint64(COUNTERS)).astype(np.int64)]))
@@ -196,10 +197,11 @@ def _prefixes(frequencies, percent: int):
                 keys.append(prefix.view(np.int64))
                 nodes.append(np.full(len(prefix), node.as_py()))
                 sizes.append(np.full(len(prefix), len(found)))
+                places.append(np.arange(len(prefix)))
             if nodes:
                 yield pa.RecordBatch.from_pydict({
                     "key": pa.array(np.concatenate(keys)), "node": pa.array(np.concatenate(nodes), batch.schema.field("node").type),
-                    "n": pa.array(np.concatenate(sizes), pa.int64())})
+                    "n": pa.array(np.concatenate(sizes), pa.int64()), "rarer": pa.array(np.concatenate(places), pa.int64())})
     return run
 
 
@@ -233,6 +235,18 @@ def _open_groups(members: DataFrame) -> DataFrame:
             .where("low <> high").select("key"))
 
 
+def _reachable(members: DataFrame, percent: int) -> DataFrame:
+    """``members`` without those that no other of their group can be linked with through the group's shingle.
+
+    With ``rarer`` shingles before the first one that a pair shares, at most ``n - rarer`` are shared.
+    """
+    groups = members.groupBy("key").agg(F.min("n").alias("least_n"), F.count("*").alias("size")).where("size > 1")
+    partner = F.greatest(F.col("least_n") * 100, F.col("n") * percent)
+    return (members.join(groups, "key")
+            .where((F.col("n") - F.col("rarer")) * (100 + percent) * 100 >= percent * (F.col("n") * 100 + partner))
+            .select(*members.columns))
+
+
 def _settle(members: DataFrame, links: DataFrame, checked: DataFrame, texts: DataFrame, percent: int,
             scratch: Scratch) -> DataFrame:
     """``links`` with those that connect members of a group beyond what they connect already.
@@ -247,16 +261,20 @@ def _settle(members: DataFrame, links: DataFrame, checked: DataFrame, texts: Dat
         if placed.isEmpty():
             return links
         cell = F.pmod(F.xxhash64("node", F.lit(cells)), F.lit(cells))
-        leaders = (placed.groupBy("key", cell.alias("cell")).agg(F.min(F.struct("node", "n", "component")).alias("at"))
+        leaders = (placed.groupBy("key", cell.alias("cell"))
+                   .agg(F.min(F.struct("rarer", "node", "n", "component")).alias("at"))
                    .select("key", F.col("at.node").alias("leader"), F.col("at.n").alias("leader_n"),
-                           F.col("at.component").alias("leader_component")))
-        met = placed.join(leaders, "key").where("component <> leader_component")
+                           F.col("at.rarer").alias("leader_rarer"), F.col("at.component").alias("leader_component")))
+        shared = F.least(F.col("n") - F.col("rarer"), F.col("leader_n") - F.col("leader_rarer"))
+        met = placed.join(leaders, "key").where(
+            (F.col("component") != F.col("leader_component"))
+            & (shared * (100 + percent) >= (F.col("n") + F.col("leader_n")) * percent))
         pairs = scratch.table(_pairs(met, percent).join(checked, ["a", "b"], "left_anti"))
         found = _links(pairs, texts, percent)
         links = scratch.table(links.union(found))
         checked = scratch.table(checked.union(pairs.select("a", "b")))
         members = placed.join(leaders.select("key", F.col("leader").alias("node")), ["key", "node"], "left_anti") \
-            .select("key", "node", "n")
+            .select("key", "node", "n", "rarer")
         cells *= 2
 
 
@@ -299,15 +317,16 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, scratch: Scratch |
     texts = scratch.table(raw.where("text IS NOT NULL").withColumnRenamed("doc", "node")
                           .join(unsettled, "node", "left_semi"))
     if not texts.isEmpty():
-        frequencies = np.zeros(COUNTERS, dtype=np.int64)
+        frequencies = np.zeros(COUNTERS, dtype=np.int32)
         schema = "slice int, counts binary"
         for row in texts.select("text").mapInArrow(_frequencies, schema).groupBy("slice").applyInArrow(
                 _summed, schema).toLocalIterator():
             at = row["slice"] * COUNTER_SLICE
-            frequencies[at:at + COUNTER_SLICE] = np.frombuffer(row["counts"], np.int64)
+            frequencies[at:at + COUNTER_SLICE] = np.minimum(np.frombuffer(row["counts"], np.int64), 2**31 - 1)
         table = spark.sparkContext.broadcast(frequencies)
-        prefixes = scratch.table(texts.mapInArrow(_prefixes(table, percent), f"key long, node {kind}, n long"))
-        links = _settle(prefixes, links, pairs.select("a", "b"), texts, percent, scratch)
+        prefixes = scratch.table(texts.mapInArrow(
+            _prefixes(table, percent), f"key long, node {kind}, n long, rarer long"))
+        links = _settle(_reachable(prefixes, percent), links, pairs.select("a", "b"), texts, percent, scratch)
 
     components = connected_components(links, scratch)
     of_class = _with_component(classes.select("set_key", "node"), components).select("set_key", "component")
