@@ -10,8 +10,8 @@ from pyspark.sql.types import StringType
 
 from starmill.functions.scalars import any_differs, sql_literal
 
-# A source of at most this many rows is broadcast; a larger one is shuffled.
-BROADCAST_ROWS = 100_000
+# A source whose files hold at most this many bytes is broadcast; a larger one is shuffled.
+BROADCAST_BYTES = 8 << 20
 
 
 class AmbiguousSource(ValueError):

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starmill.functions import labels
 from starmill.functions.scalars import seconds_between, sql_literal
@@ -17,16 +17,32 @@ from starmill.schemas import RUN_LOG
 from starmill.sources.store import Store
 
 
+def _latest_by() -> Column:
+    return F.struct("started_at", F.col("ended_at").isNotNull(), "ended_at", "batch_id")
+
+
+def _marked_by() -> Column:
+    return F.when(F.col("watermark").isNotNull(), F.col("started_at"))
+
+
 def current_state(log: DataFrame) -> DataFrame:
     """One row per process: its latest run, with the newest watermark any of its runs stored."""
     latest = F.max_by(
-        F.struct("batch_id", "state", "started_at", "ended_at", "rows_affected", "message"),
-        F.struct("started_at", F.col("ended_at").isNotNull(), "ended_at", "batch_id"))
-    stored = F.max_by("watermark", F.when(F.col("watermark").isNotNull(), F.col("started_at")))
+        F.struct("batch_id", "state", "started_at", "ended_at", "rows_affected", "message"), _latest_by())
+    stored = F.max_by("watermark", _marked_by())
     return (log.groupBy("process").agg(latest.alias("_run"), stored.alias("watermark"))
             .select("process", "_run.*", "watermark"))
 
 
+def folded(log: DataFrame) -> DataFrame:
+    """The rows of a log that answer every question about its state: of each process the latest run and the
+    run that stored the newest watermark. Folding twice, or a log with repeated rows, gives the same."""
+    row = F.struct(*[f.name for f in RUN_LOG.fields])
+    kept = F.array(F.max_by(row, _latest_by()), F.max_by(row, _marked_by()))
+    return (log.groupBy("process").agg(kept.alias("_kept")).select(F.explode("_kept").alias("_row"))
+            .where("_row IS NOT NULL").select("_row.*").distinct())
+
+
 def monitor(log: DataFrame) -> DataFrame:
     """Latest run of each process with its duration, newest first."""
     return (current_state(log)
@@ -44,15 +60,43 @@ def watermark_drift(log: DataFrame) -> DataFrame:
 
 
 class RunLog:
-    """The run log of a store."""
+    """The run log of a store.
+
+    Every run appends its rows. ``compact`` folds ended runs into one state table, so that reading costs the
+    number of processes and of runs since then; the folded rows are kept in an archive.
+    """
 
-    TABLE = "etl/run_log"
+    TABLE, STATE, ARCHIVE = "etl/run_log", "etl/run_state", "etl/run_archive"
 
     def __init__(self, store: Store):
         self.store = store
 
     def read(self) -> DataFrame:
-        return self.store.read(self.TABLE, RUN_LOG)
+        """What tells the state of all processes: the folded state and all rows since."""
+        return self.store.read(self.STATE, RUN_LOG).unionByName(self.store.read(self.TABLE, RUN_LOG))
+
+    def history(self) -> DataFrame:
+        """Every row ever logged."""
+        return self.store.read(self.ARCHIVE, RUN_LOG).unionByName(self.store.read(self.TABLE, RUN_LOG)).distinct()
+
+    def compact(self) -> None:
+        """Fold the runs that have ended; those still open stay as they are.
+
+        Interrupted at any point, the rows are in the state, among the single rows, or in both, which
+        reads the same.
+        """
+        ended = [p.removesuffix("-end") for p in self.store.parts(self.TABLE) if p.endswith("-end")]
+        closed = [f"{run}-{phase}" for run in ended for phase in ("start", "end")]
+        if not closed:
+            return
+        rows = self.store.read(self.TABLE, RUN_LOG, parts=closed)
+        version = max(self.store.versions(self.STATE), default=0) + 1
+        self.store.append(self.ARCHIVE, rows.coalesce(1), str(version))
+        state = self.store.read(self.STATE, RUN_LOG).unionByName(rows)
+        self.store.write(self.STATE, folded(state).coalesce(1), version=version)
+        for part in closed:
+            self.store.drop_part(self.TABLE, part)
+        self.store.prune(self.STATE)
 
     def last_watermark(self, process: str) -> datetime:
         return last_watermark(self.read(), process)

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from starmill.functions import labels
 from starmill.functions.scalars import default_to
@@ -76,19 +77,36 @@ DIMENSIONS = {
 def merge_dimension(dim: Dimension, target: DataFrame, source: DataFrame,
                     stamps: Mapping[str, object], scratch: Scratch | None = None,
                     null_safe: bool = True, collation: str | None = None,
-                    broadcast_source: bool | None = None) -> DataFrame:
+                    broadcast_source: bool | None = None, last_key: int | None = None) -> DataFrame:
     """The dimension after one load, with the ``action`` taken for each member.
 
     New members get the keys after the greatest one in use, in the order of their business id.
+    ``last_key`` tells that key where ``target`` is a part of the dimension.
     """
     merge = scd1_merge(target, source, {dim.business_id: dim.staged_id}, dim.attributes,
                        stamps=stamps, null_safe=null_safe, collation=collation,
                        broadcast_source=broadcast_source)
     new = assign_keys(merge.new.drop(dim.key), [dim.business_id], dim.key,
-                      start=max_key(target, dim.key), scratch=scratch)
+                      start=max_key(target, dim.key) if last_key is None else last_key, scratch=scratch)
     return merge.existing.unionByName(new)
 
 
+def inferred_members(dim: Dimension, ids: DataFrame, like: DataFrame, stamps: Mapping[str, object],
+                     last_key: int, scratch: Scratch) -> DataFrame:
+    """Placeholder rows, columns as in ``like``, for business ids that no load has brought yet.
+
+    Texts hold a label, so that a merge that takes NULL for equal to everything updates them too.
+    """
+    columns = {dim.business_id: F.col("_id")}
+    for attribute in dim.attributes:
+        text = isinstance(like.schema[attribute].dataType, StringType)
+        columns[attribute] = F.lit(dim.defaults.get(attribute, labels.NO_NAME) if text else None)
+    columns |= {c: F.lit(v) for c, v in stamps.items()}
+    rows = ids.select(*[columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+                        for f in like.schema.fields if f.name != dim.key])
+    return assign_keys(rows, [dim.business_id], dim.key, start=last_key, scratch=scratch)
+
+
 # Seed row for sales without a salesperson. Its business id occurs in no source, so no merge
 # ever matches it.
 UNKNOWN_SALESPERSON = {

@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starmill.functions.labels import UNKNOWN_KEY
 from starmill.functions.scalars import date_key
+from starmill.operators.history import point_in_time
+from starmill.sources.shared import Scratch
 
 FACT_COLUMNS = ["date_key", "product_key", "customer_key", "salesperson_key", "territory_key",
                 "promotion_key", "sales_order_id", "order_qty", "unit_price",
                 "unit_price_discount", "line_total"]
+MEASURES = ["order_qty", "unit_price", "unit_price_discount", "line_total"]
 FACT_KEY = ["sales_order_id", "product_key"]
+LINE_KEY = ["sales_order_id", "product_id"]
+VERSION_KEY = "version_key"
 
 
 @dataclass(frozen=True)
@@ -24,7 +30,7 @@ class Lookup:
     line_column: str
     business_id: str
     key: str
-    on_missing: str  # "drop" or "unknown"
+    on_missing: str  # "drop", "unknown" or (in a warehouse) "infer"
 
 
 LOOKUPS = (
@@ -49,7 +55,7 @@ def look_up(lines: DataFrame, dimension: DataFrame, lookup: Lookup) -> DataFrame
     """
     right = dimension.select(F.col(lookup.business_id).alias("_id"),
                              F.col(lookup.key).alias("_key"))
-    how = "left" if lookup.on_missing == "unknown" else "inner"
+    how = "inner" if lookup.on_missing == "drop" else "left"
     joined = lines.join(right, lines[lookup.line_column] == F.col("_id"), how)
     key = F.coalesce("_key", F.lit(UNKNOWN_KEY)) if how == "left" else F.col("_key")
     kept = [c for c in lines.columns if c != lookup.key]
@@ -62,37 +68,102 @@ def order_lines(detail: DataFrame, header: DataFrame, sales_person: Column | Non
     return lines if sales_person is None else lines.withColumn("sales_person_id", sales_person)
 
 
+def lookups_with(on_missing: Mapping[str, str] | None) -> dict[str, Lookup]:
+    """The lookups by dimension, with the policies of ``on_missing``."""
+    policy = dict(on_missing or {})
+    return {l.dimension: replace(l, on_missing=policy.get(l.dimension, l.on_missing)) for l in LOOKUPS}
+
+
+def new_lines(lines: DataFrame, existing: DataFrame | None, duplicates: str,
+              line_order: Sequence[str] = ()) -> DataFrame:
+    """Lines that ``existing`` (order and source product id) does not hold, by the policy for ``duplicates``.
+
+    Order and source product id identify a line, also where the product is in no dimension.
+    """
+    if existing is not None:
+        held = existing.select("sales_order_id", F.col("product_id_source").alias("product_id"))
+        lines = lines.join(held, LINE_KEY, "left_anti")
+    if duplicates == "error":
+        check_duplicates(lines)
+    elif duplicates == "first":
+        lines = first_of_each(lines, line_order)
+    return lines
+
+
+def first_of_each(lines: DataFrame, line_order: Sequence[str], key: Sequence[str] = LINE_KEY) -> DataFrame:
+    nth = F.row_number().over(Window.partitionBy(*key).orderBy(*line_order))
+    return lines.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
+
+
+def look_up_version(lines: DataFrame, versions: DataFrame, lookup: Lookup, version_key: str = VERSION_KEY,
+                    scratch: Scratch | None = None) -> DataFrame:
+    """Add the key of the version that was valid on the order's date.
+
+    ``versions`` is a type 2 dimension, with the business id, ``valid_from``, ``valid_to`` and ``version_key``.
+    """
+    named = versions.select(F.col(lookup.business_id).alias(lookup.line_column), "valid_from", "valid_to",
+                            F.col(version_key).alias("_version_key"))
+    kept = [c for c in lines.columns if c != lookup.key]
+    found = point_in_time(lines.select(*kept), named, [lookup.line_column], "order_date", ["_version_key"],
+                          scratch=scratch)
+    if lookup.on_missing == "drop":
+        found = found.where("_version_key IS NOT NULL")
+    return found.select(*kept, F.coalesce("_version_key", F.lit(UNKNOWN_KEY)).alias(lookup.key))
+
+
+def with_keys(lines: DataFrame, dims: Mapping[str, DataFrame], lookups: Sequence[Lookup],
+              versions: Mapping[str, DataFrame] | None = None, scratch: Scratch | None = None) -> DataFrame:
+    """All lookups one after the other; those of dimensions in ``versions`` by the order's date."""
+    for lookup in lookups:
+        if versions and lookup.dimension in versions:
+            lines = look_up_version(lines, versions[lookup.dimension], lookup, scratch=scratch)
+        else:
+            lines = look_up(lines, dims[lookup.dimension], lookup)
+    return lines
+
+
+def without_place(lines: DataFrame, dims: Mapping[str, DataFrame], lookups: Sequence[Lookup]) -> DataFrame:
+    """Orders with a line that a lookup drops, each once."""
+    missing = [lines.join(dims[l.dimension], lines[l.line_column] == dims[l.dimension][l.business_id], "left_anti")
+               .select("sales_order_id") for l in lookups if l.on_missing == "drop"]
+    return reduce(DataFrame.unionByName, missing).distinct()
+
+
 def load_fact(detail: DataFrame, header: DataFrame, dims: Mapping[str, DataFrame], *,
               existing: DataFrame | None = None, duplicates: str = "keep",
               line_order: Sequence[str] = (), sales_person: Column | None = None,
-              on_missing: Mapping[str, str] | None = None) -> DataFrame:
+              on_missing: Mapping[str, str] | None = None,
+              versions: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Fact rows for the lines of ``detail`` that ``existing`` does not hold yet.
 
     The product key is looked up first, because with it a known line can be discarded before
     anything else is joined: in a repeated or incremental load only new lines reach the header
-    join. ``duplicates`` says what to do with lines of this batch that share order and product:
-    ``keep`` them, take the ``first`` by ``line_order``, or fail (``error``; see
-    ``check_duplicates``). ``on_missing`` overrides the policy of a dimension.
+    join. ``existing`` is compared by source product id where it has one (``product_id_source``),
+    which also tells unknown products apart, else by key. ``duplicates`` says what to do with
+    new lines that share order and product: ``keep`` them, take the ``first`` by
+    ``line_order``, or fail (``error``; see ``check_duplicates``). ``on_missing`` overrides the
+    policy of a dimension. Dimensions in ``versions`` are type 2; their key is that of the
+    version valid on the order's date.
     """
-    policy = dict(on_missing or {})
-    lookups = {l.dimension: Lookup(l.dimension, l.line_column, l.business_id, l.key,
-                                   policy.get(l.dimension, l.on_missing)) for l in LOOKUPS}
-    lines = look_up(detail, dims["dim_product"], lookups.pop("dim_product"))
-    if duplicates == "error":
-        check_duplicates(lines)
-    elif duplicates == "first":
-        nth = F.row_number().over(Window.partitionBy(*FACT_KEY).orderBy(*line_order))
-        lines = lines.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
-    if existing is not None:
-        lines = lines.join(existing.select(*FACT_KEY), FACT_KEY, "left_anti")
+    lookups = lookups_with(on_missing)
+    if existing is not None and "product_id_source" in existing.columns:
+        lines = look_up(new_lines(detail, existing, duplicates, line_order), dims["dim_product"],
+                        lookups.pop("dim_product"))
+    else:
+        product = lookups.pop("dim_product")
+        lines = look_up(detail, dims["dim_product"], product)
+        if duplicates == "first":  # by the key, which the comparison with the stored lines is partitioned by as well
+            lines = first_of_each(lines, line_order, FACT_KEY if product.on_missing == "drop" else LINE_KEY)
+        if existing is not None:
+            lines = lines.join(existing.select(*FACT_KEY), FACT_KEY, "left_anti")
+        if duplicates == "error":
+            check_duplicates(lines)
     lines = order_lines(lines, header, sales_person)
-    for lookup in lookups.values():
-        lines = look_up(lines, dims[lookup.dimension], lookup)
-    return lines.select(*FACT_COLUMNS)
+    return with_keys(lines, dims, list(lookups.values()), versions).select(*FACT_COLUMNS)
 
 
 def check_duplicates(lines: DataFrame) -> None:
-    clash = lines.groupBy(*FACT_KEY).agg(F.count("*").alias("rows")).where("rows > 1").first()
+    clash = lines.groupBy(*LINE_KEY).agg(F.count("*").alias("rows")).where("rows > 1").first()
     if clash is not None:
         raise DuplicateLines(f"order {clash['sales_order_id']} holds product "
-                             f"{clash['product_key']} on {clash['rows']} lines")
+                             f"{clash['product_id']} on {clash['rows']} lines")

@@ -61,6 +61,18 @@ WAREHOUSE = {
         line_total=DecimalType(12, 2), order_year=_INT),
 }
 
+# The stored fact also holds the product's id in the source, which tells lines of an order apart even
+# where no product is known by it.
+STORED_FACT = StructType([*WAREHOUSE["fact_sales"].fields, StructField("product_id_source", _LONG)])
+
+# Up to when each source table was followed; orders with lines that found no place yet.
+SOURCE_MARKS = _schema(source=_TEXT, watermark=_TIME)
+WAITING_ORDERS = _schema(sales_order_id=_LONG)
+
+# Results of the checks of one part of the stored fact.
+ORPHANS = _schema(dimension=_TEXT, rows=_LONG)
+DUPLICATES = _schema(sales_order_id=_LONG, product_key=_LONG, rows=_LONG)
+
 # The staging version that a table has taken in last.
 MERGED = _schema(version=_LONG)
 

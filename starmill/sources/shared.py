@@ -9,6 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dir: str | None = None
@@ -42,6 +43,53 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop, True)
 
 
+def create_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with its text in one step; False when there is one already.
+
+    The text is written aside and renamed without overwriting, which file systems with atomic renames
+    grant to one writer only.
+    """
+    jvm = spark.sparkContext._jvm
+    hadoop, fs = filesystem(spark, path)
+    target = fs.makeQualified(hadoop)
+    fs.mkdirs(target.getParent())
+    aside = jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_aside-{uuid.uuid4().hex}")
+    stream = fs.create(aside)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    kind = jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(kind, 1)
+    how[0] = kind.NONE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        target.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        context.rename(aside, target, how)
+    except Py4JJavaError as error:
+        fs.delete(aside, False)
+        if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; None when there is none."""
+    hadoop, fs = filesystem(spark, path)
+    if not fs.exists(hadoop):
+        return None
+    stream = fs.open(hadoop)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under ``path``."""
+    hadoop, fs = filesystem(spark, path)
+    return fs.getContentSummary(hadoop).getLength()
+
+
 class Scratch:
     """Written intermediate tables; used as a context manager it drops them on leaving.
 
@@ -55,10 +103,14 @@ class Scratch:
 
     def table(self, df: DataFrame) -> DataFrame:
         """Write ``df`` and return a reader of what was written."""
+        return self.sized_table(df)[0]
+
+    def sized_table(self, df: DataFrame) -> tuple[DataFrame, int]:
+        """``table`` and the bytes of its files."""
         self._count += 1
         path = f"{self.root}/t{self._count}"
         df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path), size_of(self.spark, path)
 
     def __enter__(self) -> "Scratch":
         return self

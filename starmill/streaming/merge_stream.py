@@ -7,48 +7,40 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from starmill.operators.lookup import one_per_key
 from starmill.operators.merge import scd1_merge
+from starmill.sources.shared import Scratch
 from starmill.sources.store import Store
 
-NOTE = StructType([StructField("version", LongType())])
 KEPT_VERSIONS = 3
 
 
-def version_of(store: Store, table: str, stream: str, batch_id: int) -> int:
-    """The table version that a batch of a stream writes; a batch delivered again keeps its version.
-
-    It is noted before the batch is written. Numbers go on from the versions there are, whichever stream
-    wrote them, so a stream with a new checkpoint does not write over them.
-    """
-    notes, part = f"{table}/batches", f"{stream}-{batch_id}"
-    if part in store.parts(notes):
-        return store.read_part(notes, part, NOTE).first()["version"]
-    version = max(store.versions(table), default=0) + 1
-    store.append(notes, store.spark.range(version, version + 1, numPartitions=1).toDF("version"), part)
-    return version
-
-
 def merge_batch(store: Store, table: str, schema: StructType, batch: DataFrame, batch_id: int,
                 keys: Sequence[str], attributes: Sequence[str], newest_by: Sequence[str],
                 stream: str = "stream") -> None:
-    """Merge one micro-batch and write the result as the version of that batch.
-
-    Batches may be delivered twice and files may arrive out of order. The merge starts from the version
-    before the batch's own, so a repeated batch writes the same version again; only rows newer by all of
-    ``newest_by`` than the stored one change it. Older versions are dropped but for a few.
+    """Merge one micro-batch and publish the result as the table's next version.
+
+    Batches may be delivered twice, files may arrive out of order, and other streams may write to the same
+    table. A version belongs to the batch that claimed its number, so a batch that has one is done. If
+    another stream takes the number first, the batch is merged again into what that has written: no version
+    ever leaves out one before it. Only rows newer by all of ``newest_by`` than the stored one change it,
+    so a batch delivered after its version was dropped changes nothing. Older versions are dropped but for
+    a few.
     """
-    version = version_of(store, table, stream, batch_id)
-    newest = one_per_key(batch.select(*dict.fromkeys([*keys, *newest_by, *attributes])), keys, newest_by)
-    newest.persist()  # read twice, to be counted and to be merged; lost blocks come from the files
-    try:
-        target = store.read(table, schema, before=version)
-        merge = scd1_merge(target, newest, keys, attributes, stamps={}, newer_by=newest_by)
-        store.write(table, merge.table.drop("action"), version=version)
-    finally:
-        newest.unpersist()
+    owner = f"{stream}-{batch_id}"
+    if owner in store.owners(table):
+        return
+    with Scratch(store.spark, "batch") as scratch:
+        newest = scratch.table(one_per_key(
+            batch.select(*dict.fromkeys([*keys, *newest_by, *attributes])), keys, newest_by))
+        while True:
+            base = max(store.versions(table), default=0)
+            target = store.read(table, schema, version=base)
+            merge = scd1_merge(target, newest, keys, attributes, stamps={}, newer_by=newest_by)
+            if store.publish(table, merge.table.drop("action"), base, owner):
+                break
     store.prune(table, keep=KEPT_VERSIONS)
 
 
