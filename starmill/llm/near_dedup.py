@@ -9,7 +9,7 @@ the threshold are compared on their full sets.
 Members of a band are compared with one of them, not with each other. Where that leaves a band in several
 components, its documents are compared again by an exact method: by prefix filtering, two sets of the
 wanted similarity share one of their rarest shingles. Groups of documents that share a rare shingle are
-compared with one, then two, then four of their members and so on, until all members have had their turn
+compared with one, then four, then sixteen of their members and so on, until all members have had their turn
 or are in one component. Those with the fewest rarer shingles come first, as they have most in common with
 the others; a shared shingle with too many rarer ones on either side cannot link a pair.
 """
@@ -37,7 +37,9 @@ BASE, RATE, TOP = 1.15, 20.0, 254
 # Counters of the table of shingle frequencies; too few only make prefixes less rare.
 COUNTERS = 1 << 21
 COUNTER_SLICE = 1 << 18
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 200_000
+# How many times more members of a group are compared with the others in each round.
+MORE = 4
 
 _random = np.random.default_rng(20240601)
 FACTORS = (_random.integers(0, 1 << 31, REGISTERS, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -154,14 +156,15 @@ def _likely(percent: int):
 def _confirmed(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
-        for batch in batches:
-            linked, last, known = [], None, np.empty(0, dtype=np.uint64)
-            for text_a, text_b in zip(batch.column("text_a"), batch.column("text_b")):
-                a, b = text_a.as_buffer().to_pybytes(), text_b.as_buffer().to_pybytes()
-                if b != last:
-                    last, known = b, shingles(b, words)
-                linked.append(alike(shingles(a, words), known, percent))
-            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+        for whole in batches:
+            for batch in slices(whole, "text_a"):
+                linked, last, known = [], None, np.empty(0, dtype=np.uint64)
+                for text_a, text_b in zip(batch.column("text_a"), batch.column("text_b")):
+                    a, b = text_a.as_buffer().to_pybytes(), text_b.as_buffer().to_pybytes()
+                    if b != last:
+                        last, known = b, shingles(b, words)
+                    linked.append(alike(shingles(a, words), known, percent))
+                yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
     return run
 
 
@@ -188,7 +191,7 @@ def _summed(table: pa.Table) -> pa.Table:
 def _prefixes(frequencies, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, often = WordHashes(), frequencies.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             nodes, sizes, keys, places = [], [], [], []
             for node, text in zip(batch.column("node"), batch.column("text")):
                 found = shingles(text.as_buffer().to_pybytes(), words)
@@ -251,8 +254,8 @@ def _settle(members: DataFrame, links: DataFrame, checked: DataFrame, texts: Dat
             scratch: Scratch) -> DataFrame:
     """``links`` with those that connect members of a group beyond what they connect already.
 
-    In each round twice as many members as in the one before are compared with all others of their group;
-    they have met everybody then and leave. Groups in one component are done.
+    In each round ``MORE`` times as many members as in the one before are compared with all others of their
+    group; they have met everybody then and leave. Groups in one component are done.
     """
     cells = 1
     while True:
@@ -275,7 +278,7 @@ def _settle(members: DataFrame, links: DataFrame, checked: DataFrame, texts: Dat
         checked = scratch.table(checked.union(pairs.select("a", "b")))
         members = placed.join(leaders.select("key", F.col("leader").alias("node")), ["key", "node"], "left_anti") \
             .select("key", "node", "n", "rarer")
-        cells *= 2
+        cells *= MORE
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, scratch: Scratch | None = None) -> DataFrame:

@@ -44,12 +44,56 @@ def byte_letters() -> dict[int, str]:
     return {**{b: chr(b) for b in shown}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
 
 
+END_OF_WORD = "</w>"
+# Bytes of words that are merged by ranks, and those that can end one: printable ASCII, and small letters of
+# U+00C0 to U+024F with a to z.
+_ASCII = bytes(range(0x21, 0x7F))
+_LATIN, _LATIN_ENDS = bytes([*range(0x61, 0x7B), *range(0xC3, 0xCA), *range(0x80, 0xC0)]), bytes([*range(0x61, 0x7B), *range(0x80, 0xC0)])
+
+
+class RankedWords:
+    """Merges words over a few bytes by the ranks of a word-end vocabulary.
+
+    Symbols that end a word differ from those inside one, so each gets a code of its own: the places of
+    ``inside`` and then those of ``ends``.
+    """
+
+    def __init__(self, vocabulary: dict[str, int], inside: bytes, ends: bytes):
+        import tiktoken
+
+        to_byte = {letter: byte for byte, letter in byte_letters().items()}
+        self._inside = bytes.maketrans(inside, bytes(range(len(inside))))
+        self._ends = {byte: bytes([len(inside) + i]) for i, byte in enumerate(ends)}
+        ranks = {}
+        for word, i in vocabulary.items():
+            plain = word.removesuffix(END_OF_WORD)
+            spelled = bytes(map(to_byte.__getitem__, plain)) if plain and set(plain) <= set(to_byte) else b""
+            last = word != plain
+            if spelled and set(spelled[:len(spelled) - last]) <= set(inside) and (not last or spelled[-1] in ends):
+                ranks[self._coded(spelled) if last else spelled.translate(self._inside)] = i
+        self._merge = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks,
+                                        special_tokens={})._encode_single_piece
+
+    def _coded(self, word: bytes) -> bytes:
+        return word[:-1].translate(self._inside) + self._ends[word[-1]]
+
+    def ids(self, word: str) -> list[int]:
+        return self._merge(self._coded(word.encode()))
+
+
+def ids_follow_merges(vocabulary: dict[str, int], merges: list) -> bool:
+    """Whether ids tell which pair is merged first."""
+    ids = [vocabulary[m.replace(" ", "", 1) if isinstance(m, str) else "".join(m)] for m in merges]
+    return all(a < b for a, b in zip(ids, ids[1:]))
+
+
 class WordIds:
     """Ids, as little-endian unsigned 32-bit integers, of texts under a word-end BPE tokenizer.
 
     The tokenizer drops white space and lower-cases, so the ids of a text are those of the strings between
-    blanks in a row. Each different string is encoded once a task. Plain strings are split here and their
-    parts go straight to the tokenizer's model; all others go through the whole tokenizer.
+    blanks in a row. Each different string is encoded once a task. Plain strings are split here; their parts are
+    merged by the ranks of the vocabulary or, where ids do not follow the merges, go straight to the
+    tokenizer's model. All other strings go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -66,16 +110,30 @@ class WordIds:
         self._ends[ends] = True
         self._letters = byte_letters()
         self._known: dict[str, bytes] = {}
+        self._packed = [i.to_bytes(4, "little") for i in range(len(self._ends))]
+        model = settings["model"]
+        self._ascii = self._latin = None
+        if ids_follow_merges(model["vocab"], model["merges"]):
+            self._ascii = RankedWords(model["vocab"], _ASCII, _ASCII)
+            self._latin = RankedWords(model["vocab"], _LATIN, _LATIN_ENDS)
 
     def _encode(self, words: list[str]) -> None:
-        split = {w: _PARTS.findall(low) if "<|" not in w and _PLAIN.fullmatch(low := w.lower()) else None
-                 for w in words}
-        parts = list({part for found in split.values() if found for part in found})
-        written = [p if p.isascii() else "".join(self._letters[b] for b in p.encode()) for p in parts]
-        ids = np.asarray(self._model.encode(" ".join(written), add_special_tokens=False).ids, dtype="<u4")
-        ends = 4 * (np.flatnonzero(self._ends[ids]) + 1)
-        raw, begins = ids.tobytes(), [0, *ends.tolist()]
-        of = {part: raw[begins[i]:begins[i + 1]] for i, part in enumerate(parts)}
+        split = {w: None if "<|" in w or not _PLAIN.fullmatch(low := w.lower()) else [low] if low.isalpha()
+                 else _PARTS.findall(low) for w in words}
+        every = {part for found in split.values() if found for part in found}
+        of, parts = {}, []
+        for part in every:
+            ranked = self._ascii if part.isascii() else self._latin if part.isalpha() else None
+            if ranked:
+                of[part] = b"".join(map(self._packed.__getitem__, ranked.ids(part)))
+            else:
+                parts.append(part)
+        if parts:
+            written = [p if p.isascii() else "".join(self._letters[b] for b in p.encode()) for p in parts]
+            ids = np.asarray(self._model.encode(" ".join(written), add_special_tokens=False).ids, dtype="<u4")
+            ends = 4 * (np.flatnonzero(self._ends[ids]) + 1)
+            raw, begins = ids.tobytes(), [0, *ends.tolist()]
+            of |= {part: raw[begins[i]:begins[i + 1]] for i, part in enumerate(parts)}
         for word, found in split.items():
             self._known[word] = b"".join([of[part] for part in found]) if found is not None else np.asarray(
                 self._whole.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()

@@ -105,3 +105,30 @@ def test_equal_texts_have_equal_fingerprints_and_awkward_rows_none_missing(spark
     assert len({r["fingerprint"] for r in found if r["doc_id"] == 6}) == 1
     assert all(r["near_next"] is None for r in found if r["doc_id"] is None)
     assert fingerprints_beside_next(empty(spark)).collect() == []
+
+
+def test_components_of_both_ways_are_the_same(spark, monkeypatch):
+    from starmill.llm import components
+    from starmill.sources.shared import Scratch
+
+    source = random.Random(8)
+    links = [(source.randrange(300), source.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 460)]
+    table = spark.createDataFrame(links, "a long, b long").repartition(4)
+    with Scratch(spark, "components") as scratch:
+        found = sorted(map(tuple, components.connected_components(table, scratch).collect()))
+        monkeypatch.setattr(components, "LINKS_IN_A_TASK", 0)
+        assert sorted(map(tuple, components.connected_components(table, scratch).collect())) == found
+        none = components.connected_components(table.where("a = -1"), scratch)
+        monkeypatch.undo()
+        assert none.collect() == components.connected_components(table.where("a = -1"), scratch).collect() == []
+    parent = {}
+
+    def root(x):
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+    for a, b in links:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    nodes = {x for pair in links for x in pair}
+    assert found == sorted((x, root(x)) for x in nodes if root(x) != x)
