@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starmill.llm.tables import documents, slices
+from starmill.llm.tables import Carried, documents, released, slices
 from starmill.sources.tables import read_table
 
 WORDS_PER_SHINGLE = 5
@@ -200,7 +200,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, at_a_time: int = ITEMS_
     spark = docs.sparkSession
     kinds = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType
     parts = [docs.select("doc_id", "text").mapInArrow(
-        _found(spark.sparkContext.broadcast(block), to_arrow_type(kinds[1])),
+        released(_found(Carried(spark, block), to_arrow_type(kinds[1]))),
         f"doc_id {kinds[0]}, item_id {kinds[1].simpleString()}, first_word long, similarity double")
         for block in benchmark_blocks(benchmark, at_a_time)]
     found = parts[0]
@@ -223,7 +223,7 @@ def _clean(block):
 def without_passages(docs: DataFrame, benchmark: DataFrame, at_a_time: int = ITEMS_AT_A_TIME) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no benchmark item; see ``find_passages``."""
     for block in benchmark_blocks(benchmark, at_a_time):
-        docs = docs.mapInArrow(_clean(docs.sparkSession.sparkContext.broadcast(block)), docs.schema)
+        docs = docs.mapInArrow(released(_clean(Carried(docs.sparkSession, block))), docs.schema)
     return docs
 
 

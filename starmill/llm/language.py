@@ -15,7 +15,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from starmill.llm.tables import documents, slices
+from starmill.llm.tables import Carried, documents, slices
 from starmill.sources.shared import Scratch
 
 LONGEST = 5
@@ -215,7 +215,7 @@ def identify(docs: DataFrame, model: LanguageModel, held_out: Column | None = No
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     held = (F.lit(False) if held_out is None else held_out).alias("held_out")
-    table = docs.sparkSession.sparkContext.broadcast(model)
+    table = Carried(docs.sparkSession, model)
     return docs.select("doc_id", held, "text").mapInArrow(
         _predicted(table), f"doc_id {kind}, held_out boolean, lang_pred string, score double")
 

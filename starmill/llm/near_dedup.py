@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmill.llm.components import connected_components
-from starmill.llm.tables import documents, slices
+from starmill.llm.tables import documents, released, slices
 from starmill.sources.shared import Scratch
 
 WORDS_PER_SHINGLE = 5
@@ -225,7 +225,7 @@ def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     kind = dict(pairs.dtypes)["a"]
     with_a = pairs.select("a", "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     both = with_a.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(_confirmed(percent), f"a {kind}, b {kind}").distinct()
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(released(_confirmed(percent)), f"a {kind}, b {kind}").distinct()
 
 
 def _with_component(members: DataFrame, components: DataFrame) -> DataFrame:
@@ -298,7 +298,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, scratch: Scratch |
     scratch = scratch or Scratch(spark, "near-dedup")
     kind = docs.schema["doc_id"].dataType.simpleString()
     raw = docs.select(F.col("doc_id").alias("doc"), F.col("text").cast("binary").alias("text"))
-    sketches = scratch.table(raw.mapInArrow(_sketched, f"doc {kind}, n long, set_key binary, registers binary"))
+    sketches = scratch.table(raw.mapInArrow(released(_sketched), f"doc {kind}, n long, set_key binary, registers binary"))
     filled = sketches.where("n > 0")
     classes = scratch.table(filled.groupBy("set_key").agg(
         F.min("doc").alias("node"), F.first("n").alias("n"), F.first("registers").alias("registers")))
@@ -312,7 +312,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, scratch: Scratch |
     grouped = members.select("key", "node", "n")
     pairs = scratch.table(_pairs(members, percent))
     sides = [nodes.select(F.col("node").alias(s), F.col("registers").alias(f"registers_{s}")) for s in "ab"]
-    likely = scratch.table(pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(_likely(percent), f"a {kind}, b {kind}"))
+    likely = scratch.table(pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(released(_likely(percent)), f"a {kind}, b {kind}"))
     links = scratch.table(_links(likely, raw.where("text IS NOT NULL").withColumnRenamed("doc", "node"), percent))
 
     placed = scratch.table(_with_component(grouped, connected_components(links, scratch)))
@@ -322,13 +322,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, scratch: Scratch |
     if not texts.isEmpty():
         frequencies = np.zeros(COUNTERS, dtype=np.int32)
         schema = "slice int, counts binary"
-        for row in texts.select("text").mapInArrow(_frequencies, schema).groupBy("slice").applyInArrow(
+        for row in texts.select("text").mapInArrow(released(_frequencies), schema).groupBy("slice").applyInArrow(
                 _summed, schema).toLocalIterator():
             at = row["slice"] * COUNTER_SLICE
             frequencies[at:at + COUNTER_SLICE] = np.minimum(np.frombuffer(row["counts"], np.int64), 2**31 - 1)
         table = spark.sparkContext.broadcast(frequencies)
         prefixes = scratch.table(texts.mapInArrow(
-            _prefixes(table, percent), f"key long, node {kind}, n long, rarer long"))
+            released(_prefixes(table, percent)), f"key long, node {kind}, n long, rarer long"))
         links = _settle(_reachable(prefixes, percent), links, pairs.select("a", "b"), texts, percent, scratch)
 
     components = connected_components(links, scratch)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from starmill.llm.tables import documents, slices, text_of
+from starmill.llm.tables import documents, released, slices, text_of
 from starmill.sources.shared import Scratch
 
 CAPACITY = 4096
@@ -293,7 +293,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
     fields = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
     ids = ", ids array<int>" if keep_ids else ""
     pieces = scratch.table(docs.select("doc_id", text_of().alias("text")).mapInArrow(
-        _pieces(tokenizer_path, capacity, end_id, keep_ids), f"{fields}, part int, slot long{ids}"))
+        released(_pieces(tokenizer_path, capacity, end_id, keep_ids)), f"{fields}, part int, slot long{ids}"))
     # Rank within a length: the pieces of earlier tasks, which are counted, and the number in the task.
     counts = scratch.table(pieces.groupBy("part", "length").agg(F.count("*").alias("pieces")))
     histogram = [0] * (capacity + 1)
@@ -304,7 +304,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
     table = spark.sparkContext.broadcast(places(slack_plan(histogram, capacity)))
     ranked = pieces.join(before, ["part", "length"]).withColumn("rank", F.col("before") + F.col("slot"))
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * keep_ids, "rank"]
-    return ranked.select(columns).mapInArrow(_placed(table, keep_ids),
+    return ranked.select(columns).mapInArrow(released(_placed(table, keep_ids)),
                                              f"{fields}{ids}, sequence_id long, offset long")
 
 

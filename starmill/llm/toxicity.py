@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmill.llm.language import bucket, sample_per_class
-from starmill.llm.tables import documents, slices, text_of
+from starmill.llm.tables import Carried, documents, released, slices, text_of
 from starmill.sources.tables import read_table
 
 WINDOW, STRIDE = 24, 12
@@ -372,22 +372,23 @@ def score_toxicity(docs: DataFrame, network: Network, held_out=None, threshold:
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     held = (F.lit(False) if held_out is None else held_out).alias("held_out")
-    model = docs.sparkSession.sparkContext.broadcast(network)
+    model = Carried(docs.sparkSession, network)
     return docs.select("doc_id", held, text_of().alias("text")).mapInArrow(
-        _scored(model, threshold), f"doc_id {kind}, held_out boolean, score double, predicted int")
+        released(_scored(model, threshold)), f"doc_id {kind}, held_out boolean, score double, predicted int")
 
 
 def without_toxic(docs: DataFrame, network: Network, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all columns, that score below ``threshold``; see ``score_toxicity``."""
-    model = docs.sparkSession.sparkContext.broadcast(network)
+    model = Carried(docs.sparkSession, network)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        learned = model.value
         for whole in batches:
             for batch in slices(whole, "text", TEXT_AT_A_TIME):
-                scores = model.value.scores([t or "" for t in batch.column("text").to_pylist()])
+                scores = learned.scores([t or "" for t in batch.column("text").to_pylist()])
                 yield batch.filter(pa.array(scores < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)
 
 
 # One fold in three is not learned from.
