@@ -4,7 +4,8 @@ Every window of about an item's size is given a 64-bit SimHash of its words: bit
 words' hashes. Windows begin at every ``STEP`` words, and an item has a fingerprint for each of its first
 ``STEP`` places, so that one of them lines up with a window wherever the passage stands. Fingerprints are
 looked up by four blocks of 16 bits, each with all its neighbours at distance 1: of two fingerprints at
-most ``RADIUS`` = 7 apart, one block differs by 1 at most, so none is missed. What is found is compared
+most ``RADIUS`` = 7 apart, one block differs by 1 at most, so none is missed. Passages whose edits move a
+fingerprint further than that at all of its places are not found. What is found is compared
 exactly, by the weighted similarity of word shingles of the passage and the item; a shingle weighs as many
 letters as it has.
 """
@@ -28,8 +29,6 @@ SIMILARITY = 0.8
 STEP = 4
 BLOCKS, BLOCK_BITS = 4, 16
 RADIUS = 2 * BLOCKS - 1
-# Window sizes in steps: every size up to 8, then about an eighth apart.
-LARGEST = 256
 # Items that are looked for in one pass over the documents; their tables are broadcast.
 ITEMS_AT_A_TIME = 20_000
 # How far around the place a fingerprint tells the passage is looked for.
@@ -44,8 +43,12 @@ def words_of(text: str) -> list[str]:
 
 
 def window_steps(words: int) -> int:
-    """Steps in the largest window size that fits an item of so many words at each of ``STEP`` places."""
-    most = min((words - STEP + 1) // STEP, LARGEST // STEP)
+    """Steps in the largest window size that fits an item of so many words at each of ``STEP`` places.
+
+    Sizes are every number of steps up to 8, then about an eighth apart, so a window holds seven words in eight
+    of its item at least, however long that is.
+    """
+    most = (words - STEP + 1) // STEP
     size = unit = 1
     while size + unit <= most:
         size += unit
@@ -131,9 +134,9 @@ class Benchmark:
             groups = signs[flat[:, 0]]
             for i in range(1, STEP):
                 groups += signs[flat[:, i]]
-            # Sums of windows are differences of running sums; with 8 bits they are right as long as a
+            # Sums of windows are differences of running sums; with few bits they are right as long as a
             # window's sum fits, whatever the running sum does.
-            kind = np.int8 if max(self.sizes) * STEP <= 127 else np.int16
+            kind = next(k for k in (np.int8, np.int16, np.int32) if max(self.sizes) * STEP <= np.iinfo(k).max)
             running = np.zeros((len(groups) + 1, 64), dtype=kind)
             np.cumsum(groups, axis=0, dtype=kind, out=running[1:])
             for steps, (values, origin, near) in self.sizes.items():
