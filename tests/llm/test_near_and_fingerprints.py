@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from starmill.llm.fingerprint import fingerprints_beside_next
+from starmill.llm.fingerprint import SCALE, fingerprints_beside_next
 from starmill.llm.near_dedup import estimate, near_duplicates, one_of_each, registers
 from texts import awkward, empty, frame, prose
 
@@ -98,6 +98,20 @@ def test_fingerprints_of_edited_texts(spark):
     assert len(found) == len(table)
 
 
+def test_likeness_at_the_fraction_in_use(spark):
+    table = [(d, prose(d % 30, 12 + d * 6)) for d in range(120)]
+    texts, errors = dict(table), []
+    for row in fingerprints_beside_next(frame(spark, table)).collect():
+        text, after = texts[row["doc_id"]], texts[(row["doc_id"] + 1) % 120]
+        cut = len(text) // 4
+        for name, other in (("near_edited", text[:len(text) - cut] + after[:cut]), ("near_next", after)):
+            a, b = word_shingles(text), word_shingles(other)
+            exact, error = len(a & b) / len(a | b), (SCALE / len(a | b)) ** 0.5 / 2
+            errors.append(abs(row[name] - exact))
+            assert errors[-1] <= 4.5 * error, (row["doc_id"], name)
+    assert sum(errors) / len(errors) < 0.03
+
+
 def test_equal_texts_have_equal_fingerprints_and_awkward_rows_none_missing(spark):
     docs = awkward(spark)
     found = fingerprints_beside_next(docs).collect()
