@@ -31,6 +31,9 @@ LEAST_DOCUMENTS = 3
 # Training reads about so many labelled documents of each class, whole; chosen by a hash of doc_id.
 SAMPLE_PER_CLASS = 800
 EPOCHS, BATCH, RATE = 6, 256, 0.015
+# A small sample is gone through more often, for so many steps, and its toxic windows are repeated until they
+# are this share.
+LEAST_STEPS, TOXIC_SHARE = 120, 0.12
 # Epochs before which the worst windows are looked up anew.
 LOOKUPS = (1, 3)
 SEED = 11
@@ -307,10 +310,10 @@ def train(texts: Sequence[str], labels: Sequence[int], seed: int = SEED) -> Netw
     hint = network.inputs(words)[:, [0, WORD_SIZE]].sum(axis=1)
     score = np.sort(hint[rows], axis=1)[:, -3:].sum(axis=1)
     starts = np.flatnonzero(np.r_[True, owners[1:] != owners[:-1]])
-    step = 0
-    for epoch in range(EPOCHS):
+    step, epochs, epoch = 0, EPOCHS, 0
+    while epoch < epochs:
         # The worst window of every document, by the hints first and then by the network itself.
-        if epoch in LOOKUPS:
+        if epoch in [round(at * epochs / EPOCHS) for at in LOOKUPS]:
             vectors = network.inputs(words)
             score = np.concatenate([network.forward(rows[i:i + WINDOWS_AT_A_TIME], vectors)
                                     for i in range(0, len(rows), WINDOWS_AT_A_TIME)])
@@ -319,7 +322,10 @@ def train(texts: Sequence[str], labels: Sequence[int], seed: int = SEED) -> Netw
         worst = top[np.unique(owners[top], return_index=True)[1]]
         clean = np.flatnonzero(~toxic[owners])
         others = random.choice(clean, size=min(len(clean), 3 * len(worst)), replace=False)
-        chosen = random.permutation(np.concatenate([worst, others]))
+        bad = worst[toxic[owners[worst]]]
+        again = max(0, -(-int(TOXIC_SHARE * (len(worst) + len(others))) // max(len(bad), 1)) - 1)
+        chosen = random.permutation(np.concatenate([worst, others, np.repeat(bad, again)]))
+        epochs = max(EPOCHS, -(-LEAST_STEPS // -(-len(chosen) // BATCH)))
         for begin in range(0, len(chosen), BATCH):
             batch = chosen[begin:begin + BATCH]
             used, local = np.unique(rows[batch], return_inverse=True)
@@ -329,11 +335,12 @@ def train(texts: Sequence[str], labels: Sequence[int], seed: int = SEED) -> Netw
             g = network.gradients(local.reshape(len(batch), WINDOW), own,
                                   toxic[owners[batch]].astype(np.float32))
             step += 1
-            rate = RATE * (1 - epoch / EPOCHS) + RATE / 20
+            rate = RATE * (1 - epoch / epochs) + RATE / 20
             for n, p in network.p.items():
                 mean[n] += 0.1 * (g[n] - mean[n])
                 square[n] += 0.01 * (g[n] ** 2 - square[n])
                 p -= rate * (mean[n] / (1 - 0.9 ** step)) / (np.sqrt(square[n] / (1 - 0.99 ** step)) + 1e-6)
+        epoch += 1
     return network
 
 

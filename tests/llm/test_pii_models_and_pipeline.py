@@ -112,6 +112,15 @@ def test_toxicity_learns_words_that_mark_it(spark):
     assert toxicity.score_toxicity(empty(spark), network).collect() == []
 
 
+def test_toxicity_of_held_out_rows_with_few_labels(spark):
+    """About thirty toxic documents to learn from, eighteen held out."""
+    found = toxicity.op6_toxicity(spark, "/root/testdata/sf0.01").where("held_out")
+    truth = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("toxic IS NOT NULL")
+    shares = {r["toxic"]: r["share"] for r in found.join(truth, "doc_id").groupBy("toxic").agg(
+        F.avg("predicted").alias("share")).collect()}
+    assert shares[1] >= 0.5 and shares[0] <= 0.02
+
+
 def test_stages_work_on_what_the_one_before_kept(spark):
     found = corpus_pipeline.run(spark, SMALL).select("doc_id").distinct()
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
