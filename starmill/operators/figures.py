@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, Observation
 class Figures:
     """Aggregates over ``df`` that the write of ``rows`` takes in passing.
 
-    A task that is run again for a lost executor may count its rows twice where the plan goes on
-    after ``rows`` with a shuffle; the figures are for the log, nothing is decided by more than their order.
+    ``rows`` are to be written without a further shuffle: then they are counted by the tasks that write
+    them, each once. Tasks before a shuffle may run again for a lost executor and count twice.
     """
 
     def __init__(self, df: DataFrame, **figures: Column):

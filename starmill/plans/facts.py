@@ -81,8 +81,10 @@ def new_lines(lines: DataFrame, existing: DataFrame | None, duplicates: str,
     Order and source product id identify a line, also where the product is in no dimension.
     """
     if existing is not None:
-        held = existing.select("sales_order_id", F.col("product_id_source").alias("product_id"))
-        lines = lines.join(held, LINE_KEY, "left_anti")
+        held = existing.select(F.col("sales_order_id").alias("_order"), F.col("product_id_source").alias("_product"))
+        # A line without a product id is known by its order.
+        same = (F.col("sales_order_id") == F.col("_order")) & F.col("product_id").eqNullSafe(F.col("_product"))
+        lines = lines.join(held, same, "left_anti")
     if duplicates == "error":
         check_duplicates(lines)
     elif duplicates == "first":

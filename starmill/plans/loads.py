@@ -321,10 +321,9 @@ class Warehouse:
                              {n: self.history(n) for n in versions}, scratch)
             rows = conform(rows.withColumns({"order_year": order_year(), "product_id_source": F.col("product_id")}),
                            STORED_FACT)
-            written = Figures(rows, count=F.count(F.lit(1)))
             # One year per file where possible; a heavy year is split by the adaptive rebalance.
-            self.store.append("dw/fact_sales", written.rows.hint("rebalance", "order_year"), run.batch_id,
-                              partition_by=["order_year"])
+            written = Figures(rows.hint("rebalance", "order_year"), count=F.count(F.lit(1)))
+            self.store.append("dw/fact_sales", written.rows, run.batch_id, partition_by=["order_year"])
             run.rows = written.count
             self._note_waiting(lines, dims, list(lookups.values()), taken.count > run.rows)
             if newest is not None and since is None:

@@ -310,6 +310,8 @@ def test_a_line_without_a_product_id_is_of_the_unknown_member(spark, make, rows)
     wh = make(loaded=True)
     wh.load_sales(source(spark, sales_order_detail=lines), on_missing={"dim_product": "infer"})
     assert rows(wh.sales(), "product_key") == [(-1,), (1,)]
+    wh.load_sales(source(spark, sales_order_detail=lines), full=True, on_missing={"dim_product": "infer"})
+    assert wh.sales().count() == 2
 
 
 def test_an_old_duplicate_does_not_block_later_loads(spark, make):
