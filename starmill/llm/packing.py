@@ -63,14 +63,19 @@ class RankedWords:
 
         to_byte = {letter: byte for byte, letter in byte_letters().items()}
         self._inside = bytes.maketrans(inside, bytes(range(len(inside))))
-        self._ends = {byte: bytes([len(inside) + i]) for i, byte in enumerate(ends)}
-        ranks = {}
+        self._ends = {byte: bytes([len(inside) + i]) for i, byte in enumerate(ends)}  # codes of bytes that end a word
+        ranks, written = {}, frozenset(to_byte)
+        inner, final = frozenset(inside), frozenset(ends)
         for word, i in vocabulary.items():
             plain = word.removesuffix(END_OF_WORD)
-            spelled = bytes(map(to_byte.__getitem__, plain)) if plain and set(plain) <= set(to_byte) else b""
-            last = word != plain
-            if spelled and set(spelled[:len(spelled) - last]) <= set(inside) and (not last or spelled[-1] in ends):
-                ranks[self._coded(spelled) if last else spelled.translate(self._inside)] = i
+            if not plain or not written.issuperset(plain):
+                continue
+            spelled = bytes(map(to_byte.__getitem__, plain))
+            if word == plain:
+                if inner.issuperset(spelled):
+                    ranks[spelled.translate(self._inside)] = i
+            elif spelled[-1] in final and inner.issuperset(spelled[:-1]):
+                ranks[self._coded(spelled)] = i
         self._merge = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks,
                                         special_tokens={})._encode_single_piece
 
@@ -87,6 +92,18 @@ def ids_follow_merges(vocabulary: dict[str, int], merges: list) -> bool:
     return all(a < b for a, b in zip(ids, ids[1:]))
 
 
+class _Remembered(dict):
+    """Values made on first use."""
+
+    def __init__(self, make):
+        super().__init__()
+        self._make = make
+
+    def __missing__(self, key):
+        self[key] = found = self._make(key)
+        return found
+
+
 class WordIds:
     """Ids, as little-endian unsigned 32-bit integers, of texts under a word-end BPE tokenizer.
 
@@ -105,50 +122,38 @@ class WordIds:
             settings = json.load(file)
         settings |= {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}
         self._model = Tokenizer.from_str(json.dumps(settings))
-        ends = [i for word, i in settings["model"]["vocab"].items() if word.endswith("</w>")]
-        self._ends = np.zeros(max(settings["model"]["vocab"].values()) + 1, dtype=bool)
-        self._ends[ends] = True
         self._letters = byte_letters()
-        self._known: dict[str, bytes] = {}
-        self._packed = [i.to_bytes(4, "little") for i in range(len(self._ends))]
+        self._packed = [i.to_bytes(4, "little") for i in range(max(settings["model"]["vocab"].values()) + 1)]
         model = settings["model"]
         self._ascii = self._latin = None
         if ids_follow_merges(model["vocab"], model["merges"]):
             self._ascii = RankedWords(model["vocab"], _ASCII, _ASCII)
             self._latin = RankedWords(model["vocab"], _LATIN, _LATIN_ENDS)
-
-    def _encode(self, words: list[str]) -> None:
-        split = {w: None if "<|" in w or not _PLAIN.fullmatch(low := w.lower()) else [low] if low.isalpha()
-                 else _PARTS.findall(low) for w in words}
-        every = {part for found in split.values() if found for part in found}
-        of, parts = {}, []
-        for part in every:
-            ranked = self._ascii if part.isascii() else self._latin if part.isalpha() else None
-            if ranked:
-                of[part] = b"".join(map(self._packed.__getitem__, ranked.ids(part)))
-            else:
-                parts.append(part)
-        if parts:
-            written = [p if p.isascii() else "".join(self._letters[b] for b in p.encode()) for p in parts]
-            ids = np.asarray(self._model.encode(" ".join(written), add_special_tokens=False).ids, dtype="<u4")
-            ends = 4 * (np.flatnonzero(self._ends[ids]) + 1)
-            raw, begins = ids.tobytes(), [0, *ends.tolist()]
-            of |= {part: raw[begins[i]:begins[i + 1]] for i, part in enumerate(parts)}
-        for word, found in split.items():
-            self._known[word] = b"".join([of[part] for part in found]) if found is not None else np.asarray(
-                self._whole.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        self._words, self._parts = _Remembered(self._of_word), _Remembered(self._of_part)
+
+    def _of_word(self, word: str) -> bytes:
+        low = word.lower()
+        if "<|" in word or not _PLAIN.fullmatch(low):
+            return np.asarray(self._whole.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if low.isalpha():
+            return self._parts[low]
+        return b"".join(map(self._parts.__getitem__, _PARTS.findall(low)))
+
+    def _of_part(self, part: str) -> bytes:
+        ranked = self._ascii if part.isascii() else self._latin if part.isalpha() else None
+        if ranked:
+            return b"".join(map(self._packed.__getitem__, ranked.ids(part)))
+        written = part if part.isascii() else "".join(self._letters[b] for b in part.encode())
+        return np.asarray(self._model.encode(written, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def of(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self._known) > REMEMBERED_WORDS:
-            self._known.clear()
-        # Lower-casing ahead makes fewer different strings; it must not touch what depends on case.
-        lowered = [t if "<|" in t or "\u03a3" in t else t.lower() for t in texts]
-        split = [t.replace("\n", " ").split(" ") for t in lowered]
-        new = set().union(*split).difference(self._known)
-        if new:
-            self._encode(list(new))
-        for words in split:
-            yield b"".join(map(self._known.__getitem__, words))
+        if len(self._words) > REMEMBERED_WORDS:
+            self._words.clear()
+            self._parts.clear()
+        for text in texts:
+            # Lower-casing ahead makes fewer different strings; it must not touch what depends on case.
+            lowered = text if "<|" in text or "\u03a3" in text else text.lower()
+            yield b"".join(map(self._words.__getitem__, lowered.replace("\n", " ").split(" ")))
 
 
 def _pieces(path: str, capacity: int, end_id: int, keep_ids: bool):
