@@ -20,23 +20,29 @@ MEASURES = ["order_qty", "unit_price", "unit_price_discount", "line_total"]
 FACT_KEY = ["sales_order_id", "product_key"]
 LINE_KEY = ["sales_order_id", "product_id"]
 VERSION_KEY = "version_key"
+# A lookup that leaves a NULL key, for a later step to decide about.
+NULL = "null"
 
 
 @dataclass(frozen=True)
 class Lookup:
-    """One dimension lookup: the line column that holds the business id, and what a miss means."""
+    """One dimension lookup: the line column that holds the business id, and what a miss means.
+
+    A dimension that ``grows`` with the sales is never gathered on the driver to be broadcast.
+    """
 
     dimension: str
     line_column: str
     business_id: str
     key: str
     on_missing: str  # "drop", "unknown" or (in a warehouse) "infer"
+    grows: bool = False
 
 
 LOOKUPS = (
     Lookup("dim_date", "date_key", "date_key", "date_key", "drop"),
-    Lookup("dim_product", "product_id", "product_id_source", "product_key", "drop"),
-    Lookup("dim_customer", "customer_id", "customer_id_source", "customer_key", "drop"),
+    Lookup("dim_product", "product_id", "product_id_source", "product_key", "drop", grows=True),
+    Lookup("dim_customer", "customer_id", "customer_id_source", "customer_key", "drop", grows=True),
     Lookup("dim_salesperson", "sales_person_id", "salesperson_id_source", "salesperson_key", "unknown"),
     Lookup("dim_territory", "territory_id", "territory_id_source", "territory_key", "drop"),
     Lookup("dim_promotion", "special_offer_id", "promotion_id_source", "promotion_key", "drop"),
@@ -50,14 +56,16 @@ class DuplicateLines(ValueError):
 def look_up(lines: DataFrame, dimension: DataFrame, lookup: Lookup) -> DataFrame:
     """Add the surrogate key.
 
-    The dimension side is left to the planner: its snapshot's file size decides between a
-    broadcast and a shuffle, and a hot member is split by the adaptive skew join.
+    The side of a dimension that grows is shuffled, others are left to the planner: the snapshot's file
+    size decides between a broadcast and a shuffle. A hot member is split by the adaptive skew join.
     """
     right = dimension.select(F.col(lookup.business_id).alias("_id"),
                              F.col(lookup.key).alias("_key"))
+    if lookup.grows:
+        right = right.hint("shuffle_hash")
     how = "inner" if lookup.on_missing == "drop" else "left"
     joined = lines.join(right, lines[lookup.line_column] == F.col("_id"), how)
-    key = F.coalesce("_key", F.lit(UNKNOWN_KEY)) if how == "left" else F.col("_key")
+    key = F.col("_key") if lookup.on_missing in ("drop", NULL) else F.coalesce("_key", F.lit(UNKNOWN_KEY))
     kept = [c for c in lines.columns if c != lookup.key]
     return joined.select(*kept, key.alias(lookup.key))
 
@@ -68,6 +76,22 @@ def order_lines(detail: DataFrame, header: DataFrame, sales_person: Column | Non
     return lines if sales_person is None else lines.withColumn("sales_person_id", sales_person)
 
 
+def header_keys(header: DataFrame, dims: Mapping[str, DataFrame], lookups: dict[str, Lookup],
+                versions: Sequence[str] = (), drop: bool = True) -> DataFrame:
+    """Headers with the key of their customer, whose lookup is taken out of ``lookups``.
+
+    There are fewer orders than lines, and they may be laid out by customer already. An inferred or versioned
+    customer is left to the lines. Without ``drop`` a customer that should drop an order leaves a NULL key.
+    """
+    customer = lookups["dim_customer"]
+    if customer.dimension in versions or customer.on_missing == "infer":
+        return header
+    del lookups["dim_customer"]
+    if customer.on_missing == "drop" and not drop:
+        customer = replace(customer, on_missing=NULL)
+    return look_up(header, dims[customer.dimension], customer)
+
+
 def lookups_with(on_missing: Mapping[str, str] | None) -> dict[str, Lookup]:
     """The lookups by dimension, with the policies of ``on_missing``."""
     policy = dict(on_missing or {})
@@ -88,7 +112,9 @@ def new_lines(lines: DataFrame, existing: DataFrame | None, duplicates: str,
     if duplicates == "error":
         check_duplicates(lines)
     elif duplicates == "first":
-        lines = first_of_each(lines, line_order)
+        # Most keys have one line, so sorting within the tasks of a scan, whose files unfold to many times
+        # their size, would cut nothing: lines are sorted in partitions of the shuffle only.
+        lines = first_of_each(lines.repartition(*LINE_KEY), line_order)
     return lines
 
 
@@ -138,10 +164,10 @@ def load_fact(detail: DataFrame, header: DataFrame, dims: Mapping[str, DataFrame
               versions: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Fact rows for the lines of ``detail`` that ``existing`` does not hold yet.
 
-    The product key is looked up first, because with it a known line can be discarded before
-    anything else is joined: in a repeated or incremental load only new lines reach the header
-    join. ``existing`` is compared by source product id where it has one (``product_id_source``),
-    which also tells unknown products apart, else by key. ``duplicates`` says what to do with
+    Known lines are discarded before anything else is joined: in a repeated or incremental load only
+    new lines reach the lookups and the header join. ``existing`` is compared by source product id where
+    it has one (``product_id_source``), which also tells unknown products apart, else by key, or by the
+    source id of its key where lines without a product are dropped. ``duplicates`` says what to do with
     new lines that share order and product: ``keep`` them, take the ``first`` by
     ``line_order``, or fail (``error``; see ``check_duplicates``). ``on_missing`` overrides the
     policy of a dimension. Dimensions in ``versions`` are type 2; their key is that of the
@@ -151,16 +177,25 @@ def load_fact(detail: DataFrame, header: DataFrame, dims: Mapping[str, DataFrame
     if existing is not None and "product_id_source" in existing.columns:
         lines = look_up(new_lines(detail, existing, duplicates, line_order), dims["dim_product"],
                         lookups.pop("dim_product"))
+    elif lookups["dim_product"].on_missing == "drop" and duplicates != "error":
+        product = lookups.pop("dim_product")
+        lines = detail if duplicates != "first" else first_of_each(detail, line_order)
+        if existing is not None:
+            # The stored keys are turned into source ids, since they are narrower than the lines.
+            ids = dims["dim_product"].select(product.key, F.col(product.business_id).alias(product.line_column))
+            held = existing.select(*FACT_KEY).join(ids.hint("shuffle_hash"), product.key).select(*LINE_KEY)
+            lines = lines.join(held, LINE_KEY, "left_anti")
+        lines = look_up(lines, dims["dim_product"], product)
     else:
         product = lookups.pop("dim_product")
         lines = look_up(detail, dims["dim_product"], product)
-        if duplicates == "first":  # by the key, which the comparison with the stored lines is partitioned by as well
-            lines = first_of_each(lines, line_order, FACT_KEY if product.on_missing == "drop" else LINE_KEY)
+        if duplicates == "first":
+            lines = first_of_each(lines, line_order)
         if existing is not None:
             lines = lines.join(existing.select(*FACT_KEY), FACT_KEY, "left_anti")
         if duplicates == "error":
             check_duplicates(lines)
-    lines = order_lines(lines, header, sales_person)
+    lines = order_lines(lines, header_keys(header, dims, lookups, versions or ()), sales_person)
     return with_keys(lines, dims, list(lookups.values()), versions).select(*FACT_COLUMNS)
 
 

@@ -59,7 +59,7 @@ def sales_person() -> Column:
 
 def order_header(t: Tables) -> DataFrame:
     """Order headers; the territory of an order is that of its customer."""
-    return (t["orders"].join(t["customer"], F.col("o_custkey") == F.col("c_custkey"))
+    return (t["orders"].join(t["customer"].hint("shuffle_hash"), F.col("o_custkey") == F.col("c_custkey"))
             .select(F.col("o_orderkey").alias("sales_order_id"),
                     F.col("o_orderdate").alias("order_date"),
                     F.col("o_custkey").alias("customer_id"),

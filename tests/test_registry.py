@@ -77,3 +77,20 @@ def test_known_lines_are_discarded_before_the_header_join(spark):
     text = plan(QUERIES["fact_idempotent_load"](spark, FOLDER))
     assert text.count("WindowGroupLimit") >= 2  # duplicates are cut before the shuffle
     assert "LeftAnti" in text
+
+
+FACT_QUERIES = ["fact_load", "fact_idempotent_load", "oltp_territory_category"]
+
+
+@pytest.mark.parametrize("name", FACT_QUERIES)
+def test_products_and_customers_are_not_sent_to_the_driver(spark, name):
+    """Tables that grow with the sales are shuffled, however small they are here."""
+    text = plan(QUERIES[name](spark, FOLDER))
+    assert "ShuffledHashJoin" in text
+    joins = [line for line in text.splitlines() if "BroadcastHashJoin" in line]
+    assert not [j for j in joins if re.search(r"customer_id|o_custkey|product_id#|product_key", j)]
+
+
+def test_sums_per_order_use_the_layout_of_the_header_join(spark):
+    text = plan(QUERIES["oltp_territory_category"](spark, FOLDER))
+    assert not re.search(r"hashpartitioning\(group_name#\d+, category#\d+, sales_order_id", text)
