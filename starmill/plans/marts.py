@@ -116,14 +116,19 @@ def _by_group_and_category(lines: DataFrame) -> DataFrame:
 
 def territory_category_from_sources(src: Star) -> DataFrame:
     """The same answer from the normalised tables: detail, header, product, subcategory,
-    category, territory."""
+    category, territory.
+
+    Products grow with the sales and are shuffled, not broadcast. They are met before the header, so that
+    the sums per order need no shuffle of their own.
+    """
     lines = (
-        src["sales_order_detail"].join(src["sales_order_header"], "sales_order_id")
-        .join(src["product"].select("product_id", "product_subcategory_id"), "product_id")
+        src["sales_order_detail"]
+        .join(src["product"].select("product_id", "product_subcategory_id").hint("shuffle_hash"), "product_id")
         .join(src["product_subcategory"].select("product_subcategory_id", "product_category_id"),
               "product_subcategory_id", "left")
         .join(src["product_category"].select("product_category_id", F.col("name").alias("category")),
               "product_category_id", "left")
+        .join(src["sales_order_header"], "sales_order_id")
         .join(src["sales_territory"].select("territory_id", "group_name"), "territory_id"))
     return _by_group_and_category(lines.select(
         F.coalesce("group_name", F.lit(NO_GROUP)).alias("group_name"),
