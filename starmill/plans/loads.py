@@ -27,7 +27,8 @@ from starmill.plans.audit import RunLog
 from starmill.plans.dimensions import DIMENSIONS, UNKNOWN_SALESPERSON, inferred_members, merge_dimension
 from starmill.plans.extracts import DRIVING, EXTRACTS, Sources, followed
 from starmill.plans.facts import (
-    FACT_KEY, LINE_KEY, LOOKUPS, MEASURES, VERSION_KEY, Lookup, lookups_with, new_lines, order_lines, with_keys, without_place)
+    FACT_KEY, LINE_KEY, LOOKUPS, MEASURES, VERSION_KEY, Lookup, header_keys, lookups_with, new_lines, order_lines, with_keys,
+    without_place)
 from starmill.plans.quality import duplicates_with, fact_key_orphans
 from starmill.schemas import (
     DUPLICATES, MERGED, ORPHANS, SOURCE_MARKS, STAGING, STORED_FACT, WAITING_ORDERS, WAREHOUSE)
@@ -308,21 +309,25 @@ class Warehouse:
                 years = [r[0] for r in header.select(F.year("order_date")).distinct().collect()]
                 known = known.where(F.col("order_year").isin(years)).join(orders, "sales_order_id", "left_semi")
             lookups = lookups_with(on_missing)
+            left, dims = dict(lookups), self.dimensions()
+            header = header_keys(header, dims, left, versions, drop=False)
+            keys = [l.key for n, l in lookups.items() if n not in left]
             lines = order_lines(new_lines(detail, known if self.store.exists("dw/fact_sales") else None,
                                           duplicates, line_order), header, sales_person)
-            wanted = dict.fromkeys([*LINE_KEY, *[l.line_column for l in LOOKUPS], "order_date", *MEASURES])
+            wanted = dict.fromkeys([*LINE_KEY, *[l.line_column for l in LOOKUPS], "order_date", *MEASURES, *keys])
             taken = Figures(lines.select(*wanted), count=F.count(F.lit(1)))
             lines = scratch.table(taken.rows)
             for lookup in lookups.values():
                 if lookup.on_missing == "infer":
                     self._infer(lookup, lines, scratch)
             dims = self.dimensions()
-            rows = with_keys(lines, dims, list(lookups.values()),
+            found = lines.dropna(subset=keys) if keys else lines
+            rows = with_keys(found, dims, list(left.values()),
                              {n: self.history(n) for n in versions}, scratch)
             rows = conform(rows.withColumns({"order_year": order_year(), "product_id_source": F.col("product_id")}),
                            STORED_FACT)
-            # One year per file where possible; a heavy year is split by the adaptive rebalance.
-            written = Figures(rows.hint("rebalance", "order_year"), count=F.count(F.lit(1)))
+            # Each task writes a file per year it holds; a shuffle by year would move every line once more.
+            written = Figures(rows, count=F.count(F.lit(1)))
             self.store.append("dw/fact_sales", written.rows, run.batch_id, partition_by=["order_year"])
             run.rows = written.count
             self._note_waiting(lines, dims, list(lookups.values()), taken.count > run.rows)
