@@ -97,12 +97,12 @@ def load_with_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = scratch.table(scd2_keyed(None, seen.where(~late), **options))
     second = scratch.table(scd2_keyed(first, seen.where(late), **options))
     src, dims = roles(spark, sf_dir), loaded_warehouse(spark, sf_dir).dimensions()
-    header, fact = src["sales_order_header"], None
+    header, parts = src["sales_order_header"], []
     for orders, versions in ((header.where(F.col("order_date") < _at(CUT)), first), (header, second)):
-        lines = load_fact(src["sales_order_detail"], orders, dims, existing=fact, sales_person=sales_person(),
-                          versions={"dim_salesperson": versions})
-        fact = scratch.table(lines if fact is None else fact.unionByName(lines))
-    return fact
+        parts.append(scratch.table(load_fact(
+            src["sales_order_detail"], orders, dims, existing=parts[0] if parts else None, sales_person=sales_person(),
+            versions={"dim_salesperson": versions})))
+    return parts[0].unionByName(parts[1])
 
 
 def hot_instant(spark: SparkSession, sf_dir: str) -> DataFrame:
